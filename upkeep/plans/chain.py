@@ -32,7 +32,7 @@ def run_all(
     matrix = build_matrix(readings, utilization, interruptions, **(matrix_options or {}))
     write_matrix(matrix, matrix_path)
     ranking = train_and_rank(
-        read_matrix(spark, matrix_path),
+        read_matrix(spark, matrix_path, schema=matrix.schema),
         catalogue,
         stored=True,
         models_path=models_path,

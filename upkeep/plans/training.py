@@ -5,9 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
+from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 
 from upkeep.defaults import FEATURES, FOLDS, LABEL, SEED
@@ -47,6 +49,7 @@ def train_and_rank(
     folds: int = FOLDS,
     seed: int = SEED,
     parallelism: int = 4,
+    concurrent: int = 3,
     by_key: bool = False,
     stored: bool = False,
     models_path: str | None = None,
@@ -56,8 +59,11 @@ def train_and_rank(
     """Train and rank ``catalogue`` (all six classifiers on their full grids by default).
 
     ``by_key`` splits rows and folds by asset-day, so that copies of a row never lie on both
-    sides. ``stored`` says that ``matrix`` is read straight from files; any other matrix is
-    written to reliable storage first, because a seeded split needs rows that stay in place.
+    sides. ``concurrent`` classifiers are searched at once, and ``parallelism`` grid points of
+    each; every search caches its folds, so raise them as memory allows. ``stored`` says that
+    ``matrix`` is read straight from files; any other matrix is written to reliable storage
+    first, because a seeded split needs rows that stay in place.
+
     With ``models_path`` every model is saved under its name, and the best as ``best_model``.
     """
     spark = matrix.sparkSession
@@ -77,31 +83,37 @@ def train_and_rank(
     validation = compact(validation.select(*used), rows).persist(StorageLevel.MEMORY_AND_DISK)
 
     evaluator = f1_evaluator()
-    found, models, scores, runs = [], {}, [], []
-    run_id = uuid.uuid4().hex
+
+    def try_candidate(candidate: Candidate) -> tuple[CrossValidatorModel, float, str | None]:
+        searched = search(
+            candidate,
+            train,
+            features=features,
+            folds=folds,
+            seed=seed,
+            parallelism=parallelism,
+            fold_column=fold_column,
+        )
+        f1 = evaluator.evaluate(searched.bestModel.transform(validation))
+        path = f"{models_path}/{candidate.name}" if models_path else None
+        return searched, f1, save_model(searched.bestModel, path) if path else None
+
     try:
-        for ordinal, candidate in enumerate(catalogue):
-            searched = search(
-                candidate,
-                train,
-                features=features,
-                folds=folds,
-                seed=seed,
-                parallelism=parallelism,
-                fold_column=fold_column,
-            )
-            model = searched.bestModel
-            f1 = evaluator.evaluate(model.transform(validation))
-            path = save_model(model, f"{models_path}/{candidate.name}") if models_path else None
-            found.append((candidate, searched))
-            models[candidate.name] = model
-            scores.append((ordinal, candidate.name, f1))
-            params = as_text(model.stages[-1].extractParamMap())
-            runs.append((run_id, run_name, candidate.name, params, "F1-Score", f1, path))
+        with ThreadPool(max(min(concurrent, len(catalogue)), 1)) as pool:
+            tried = pool.map(inheritable_thread_target(spark)(try_candidate), catalogue, chunksize=1)
     finally:
         train.unpersist()
         validation.unpersist()
 
+    found, models, scores, runs = [], {}, [], []
+    run_id = uuid.uuid4().hex
+    for ordinal, (candidate, (searched, f1, path)) in enumerate(zip(catalogue, tried)):
+        found.append((candidate, searched))
+        models[candidate.name] = searched.bestModel
+        scores.append((ordinal, candidate.name, f1))
+        params = as_text(searched.bestModel.stages[-1].extractParamMap())
+        runs.append((run_id, run_name, candidate.name, params, "F1-Score", f1, path))
+
     score_table = spark.createDataFrame(scores, MODEL_SCORES)
     first = best(score_table).first()
     best_name = first["Model"] if first is not None else None

@@ -149,9 +149,10 @@ def csv_scan_roundtrip(spark, folder):
 @query
 def matrix_roundtrip(spark, folder):
     as_csv, as_parquet = scratch(spark, "matrix-csv"), scratch(spark, "matrix-parquet")
+    schema = schemas.matrix(T.LongType())
     write_matrix(_matrix(standins.events(spark, folder)), as_parquet)
-    write_matrix(read_matrix(spark, as_parquet), as_csv, fmt="csv")
-    return read_matrix(spark, as_csv, fmt="csv", schema=schemas.matrix(T.LongType()))
+    write_matrix(read_matrix(spark, as_parquet, schema=schema), as_csv, fmt="csv")
+    return read_matrix(spark, as_csv, fmt="csv", schema=schema)
 
 
 # Aggregation, joins, labels
@@ -289,9 +290,7 @@ def hash_split_counts(spark, folder):
 
 def _parts(spark, folder) -> tuple[DataFrame, DataFrame]:
     """Train and validation rows of the stored matrix, split by key."""
-    path = scratch(spark, "matrix")
-    write_matrix(_matrix(standins.events(spark, folder)), path)
-    matrix = read_matrix(spark, path)
+    matrix = stabilise(_matrix(standins.events(spark, folder)))
     rows = require_trainable(matrix)
     train, validation = split_keys(matrix)
     return compact(train, rows), compact(validation, rows)
@@ -342,7 +341,7 @@ def cv_scores(spark, folder):
 @query
 def leaderboard(spark, folder):
     matrix = _matrix(standins.events(spark, folder))
-    return train_and_rank(matrix, candidates(SMALL_GRIDS), by_key=False).leaderboard
+    return train_and_rank(matrix, candidates(SMALL_GRIDS), concurrent=6).leaderboard
 
 
 def _saved_bayes(spark, folder) -> str:
@@ -370,7 +369,7 @@ def score_stream(spark, folder):
     schema = schemas.matrix(T.LongType(), labelled=False)
     stream = arriving_features(spark, arrived, schema)
     start_scoring(stream, model, sink, scratch(spark, "progress")).awaitTermination()
-    return spark.read.parquet(sink)
+    return spark.read.schema(score(_features(standins.events(spark, folder)), model).schema).parquet(sink)
 
 
 @query

@@ -4,6 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+    ]
+)
 
 # How interruptions are told apart in the stand-in tables.
 SUBSYSTEM = 3
@@ -11,7 +22,7 @@ KINDS = ("error", "signup")
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
 
 
 def readings(events: DataFrame) -> DataFrame:

@@ -30,12 +30,12 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def stabilise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage once and read it from there ever after.
+    """Write ``df`` to the shared folder once and read it from there ever after.
 
     Seeded row sampling depends on how rows lie in partitions. A frame recomputed after a lost
     executor may lie differently, and rows would then move between train and validation.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint()
+    path = scratch(spark, "stable")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
