@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from upkeep.defaults import FEATURES, KEYS
 
+# Grouping and join order. A sort compares the first key by a machine word and further keys only
+# among equals, so the asset comes first: there are many more assets than days.
+JOIN_KEYS = ("aircraftid", "date")
+
 
 def daily_readings(readings: DataFrame) -> DataFrame:
     """Readings with the timestamp cut to its day. The reading's own day counts, not its file's."""
@@ -19,7 +23,7 @@ def daily_means(readings: DataFrame) -> DataFrame:
     Partial means are formed before the shuffle, so each task ships one row per key it has seen,
     however many readings a single asset or day contributes.
     """
-    return daily_readings(readings).groupBy(*KEYS).agg(F.mean("value").alias("sensor_mean_value"))
+    return daily_readings(readings).groupBy(*JOIN_KEYS).agg(F.mean("value").alias("sensor_mean_value"))
 
 
 def join_utilization(means: DataFrame, utilization: DataFrame) -> DataFrame:
@@ -30,14 +34,14 @@ def join_utilization(means: DataFrame, utilization: DataFrame) -> DataFrame:
     used = utilization.select(
         F.col("timeid").alias("date"), "aircraftid", "flighthours", "delayedminutes", "flightcycles"
     )
-    return means.join(used, list(KEYS), "inner").select(*KEYS, *FEATURES)
+    return means.join(used, list(JOIN_KEYS), "inner").select(*KEYS, *FEATURES)
 
 
 def keep_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows of ``df`` whose day and asset occur in ``keys``, each once."""
-    return df.join(keys, list(KEYS), "left_semi")
+    return df.join(keys, list(JOIN_KEYS), "left_semi")
 
 
 def missing_keys(keys: DataFrame, df: DataFrame) -> DataFrame:
     """Keys without a row in ``df``."""
-    return keys.join(df, list(KEYS), "left_anti")
+    return keys.join(df, list(JOIN_KEYS), "left_anti")

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.defaults import HORIZON_DAYS, KEYS, KINDS, LABEL, SUBSYSTEM
+from upkeep.defaults import HORIZON_DAYS, KINDS, LABEL, SUBSYSTEM
 from upkeep.functions.columns import code_equals, lead_days, within_horizon
+from upkeep.operators.daily import JOIN_KEYS
 
 # Copies of one row that a task emits in a row; more are spread over tasks.
 BLOCK = 100_000
@@ -46,13 +47,15 @@ def counts_by_day(interruptions: DataFrame, horizon: int = HORIZON_DAYS) -> Data
             F.col("aircraftregistration").alias("aircraftid"),
             F.explode(F.sequence(first, F.col("starttime"))).alias("date"),
         )
-        .groupBy(*KEYS)
+        .groupBy(*JOIN_KEYS)
         .agg(F.count(F.lit(1)).alias("matches"))
     )
 
 
-def _bucket(day: str, horizon: int):
-    return F.floor(F.unix_date(day) / F.lit(horizon)).cast("int")
+def _bucket(day: str, horizon: int) -> Column:
+    """Never null: a row without a day fails the interval anyway, and a null test on the bucket
+    would give the two uses of the rows in ``label_by_interval`` different plans to compute."""
+    return F.coalesce(F.floor(F.unix_date(day) / F.lit(horizon)).cast("int"), F.lit(0))
 
 
 def interval_join(
@@ -100,7 +103,7 @@ def _labelled(df: DataFrame) -> DataFrame:
     return df.withColumn(LABEL, F.col("matches").isNotNull().cast("int"))
 
 
-def _copies(df: DataFrame, count) -> DataFrame:
+def _copies(df: DataFrame, count: Column) -> DataFrame:
     """Each row ``count`` times; the array behind it never exceeds one block."""
     return df.withColumn("copy", F.explode(F.array_repeat(F.lit(0), count.cast("int")))).drop("copy")
 
@@ -136,7 +139,7 @@ def label_by_interval(
     return (
         _first_block(interval_join(rows, starts, horizon), block)
         .unionByName(
-            _further_blocks(interval_join(rows, heavy, horizon, "inner"), block, *KEYS, "starttime")
+            _further_blocks(interval_join(rows, heavy, horizon, "inner"), block, *JOIN_KEYS, "starttime")
         )
         .drop("starttime")
     )
@@ -161,10 +164,10 @@ def label_by_day(
     the whole branch where there are none.
     """
     matches = counts_by_day(interruptions, horizon)
-    joined = rows.join(matches, list(KEYS), "left")
+    joined = rows.join(matches, list(JOIN_KEYS), "left")
     if dedupe:
         return _labelled(joined).drop("matches")
     heavy = matches.where(F.col("matches") > block).hint("rebalance")
     return _first_block(joined, block).unionByName(
-        _further_blocks(rows.join(heavy, list(KEYS), "inner"), block, *KEYS)
+        _further_blocks(rows.join(heavy, list(JOIN_KEYS), "inner"), block, *JOIN_KEYS)
     )

@@ -26,7 +26,7 @@ def request_keys(requests: DataFrame) -> DataFrame:
     """The distinct keys of a request table. Text that is no ISO date gives a null date."""
     is_text = isinstance(requests.schema["date"].dataType, T.StringType)
     day = request_date(F.col("date")) if is_text else F.to_date("date")
-    return requests.select(day.alias("date"), "aircraftid").distinct()
+    return requests.select("aircraftid", day.alias("date")).distinct()
 
 
 def build_features(
@@ -61,7 +61,7 @@ def build_features(
         keys = request_keys(requests)
         means = keep_keys(means, keys)
         used_keys = keys.withColumnRenamed("date", "timeid")
-        utilization = utilization.join(used_keys, ["timeid", "aircraftid"], "left_semi")
+        utilization = utilization.join(used_keys, ["aircraftid", "timeid"], "left_semi")
 
     return rounded(join_utilization(means, utilization), FEATURES, scale)
 

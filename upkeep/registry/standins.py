@@ -37,7 +37,7 @@ def readings(events: DataFrame) -> DataFrame:
 def utilization(events: DataFrame) -> DataFrame:
     delay = F.when(F.col("event_type") == "purchase", F.col("value")).otherwise(F.lit(0.0))
     return events.groupBy(
-        F.to_date("ts").alias("timeid"), F.col("user_id").alias("aircraftid")
+        F.col("user_id").alias("aircraftid"), F.to_date("ts").alias("timeid")
     ).agg(
         F.sum("value").alias("flighthours"),
         F.sum(delay).alias("delayedminutes"),
