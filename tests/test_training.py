@@ -1,0 +1,217 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import day, rows
+from upkeep import schemas
+from upkeep.defaults import FEATURES, GRIDS, KEYS, SMALL_GRIDS
+from upkeep.learning.catalogue import candidates, f1_evaluator, stages
+from upkeep.learning.search import compact, grid_scores, model_name, search
+from upkeep.operators.bayes import naive_bayes_parameters
+from upkeep.operators.metrics import best, confusion_counts, rank, weighted_f1
+from upkeep.operators.splits import split_keys, split_rows, with_key_fold
+from upkeep.plans.chain import run_all, score_requests
+from upkeep.plans.matrix import build_features
+from upkeep.plans.scoring import score
+from upkeep.plans.training import train_and_rank
+from upkeep.registry import standins
+from upkeep.registry.queries import _features, _matrix
+from upkeep.schemas import MODEL_SCORES
+from upkeep.sources.matrix import write_matrix
+from upkeep.sources.models import load_model, read_runs, save_model
+from upkeep.streaming.scoring import arriving_features, score_stream
+from upkeep.workspace import stabilise
+
+
+@pytest.fixture(scope="module")
+def matrix(spark, tables):
+    return stabilise(_matrix(standins.events(spark, tables)))
+
+
+def bayes(smoothing=1.0):
+    return candidates({"Naive Bayes": {"smoothing": [smoothing]}})[0]
+
+
+@pytest.fixture(scope="module")
+def model(matrix):
+    return stages(bayes()).fit(matrix)
+
+
+@pytest.mark.usefixtures("spark")
+class TestCatalogue:
+    def test_full_grid(self):
+        catalogue = candidates()
+        assert [c.name for c in catalogue] == list(GRIDS)
+        assert [len(c.param_maps()) for c in catalogue] == [12, 9, 9, 9, 9, 3]
+
+    def test_grid_holds_every_combination(self):
+        (tree,) = candidates(names=["Decision Tree"])
+        points = {tuple(sorted((p.name, v) for p, v in m.items())) for m in tree.param_maps()}
+        wanted = {(("maxBins", b), ("maxDepth", d)) for d in (5, 10, 20) for b in (20, 40, 60, 120)}
+        assert points == wanted
+
+    def test_seeds_are_explicit(self):
+        for c in candidates(seed=7):
+            if c.estimator.hasParam("seed"):
+                assert c.estimator.getOrDefault("seed") == 7
+
+    @pytest.mark.parametrize("name", list(SMALL_GRIDS))
+    def test_every_classifier_fits_and_predicts(self, matrix, name):
+        (candidate,) = candidates(SMALL_GRIDS, [name])
+        fitted = stages(candidate).fit(matrix, candidate.param_maps()[0])
+        predicted = fitted.transform(matrix)
+        assert predicted.count() == matrix.count()
+        assert {r[0] for r in predicted.select("prediction").distinct().collect()} <= {0.0, 1.0}
+        assert model_name(fitted) == type(candidate.estimator).__name__
+
+
+class TestMetrics:
+    def test_f1_equals_the_evaluator(self, matrix, model):
+        predicted = model.transform(matrix)
+        (found,) = weighted_f1(confusion_counts(predicted)).collect()
+        assert found.f1 == pytest.approx(f1_evaluator().evaluate(predicted), abs=1e-12)
+
+    @pytest.mark.parametrize(
+        "pairs", [[(0, 0)], [(0, 1)], [(1, 0), (0, 1)], [(0, 0), (1, 0)], [(0, 0), (0, 1), (1, 1), (1, 1)]]
+    )
+    def test_f1_edge_cases(self, spark, pairs):
+        frame = spark.createDataFrame([(float(a), float(b)) for a, b in pairs], "label double, prediction double")
+        (found,) = weighted_f1(confusion_counts(frame)).collect()
+        assert found.f1 == pytest.approx(f1_evaluator().evaluate(frame), abs=1e-12)
+
+    def scores(self, spark, *values):
+        return spark.createDataFrame([(i, f"m{i}", v) for i, v in enumerate(values)], MODEL_SCORES)
+
+    def test_best(self, spark):
+        assert best(self.scores(spark, 0.3, 0.5, 0.5)).first().Model == "m1"
+        assert best(self.scores(spark, 0.0, 0.0)).first() is None
+
+    def test_rank(self, spark):
+        assert [r.Model for r in rank(self.scores(spark, 0.3, 0.5, 0.5)).collect()] == ["m1", "m2", "m0"]
+        assert rank(self.scores(spark, *[0.1] * 30)).count() == 20
+
+
+@pytest.mark.parametrize("smoothing", [0.0, 1.0, 2.0])
+def test_bayes_by_aggregation_equals_the_model(matrix, smoothing):
+    candidate = bayes(smoothing)
+    fitted = stages(candidate).fit(matrix, candidate.param_maps()[0]).stages[-1]
+    for row in naive_bayes_parameters(matrix, smoothing=smoothing).collect():
+        assert row.pi == pytest.approx(fitted.pi[row.label], abs=1e-9)
+        for i, c in enumerate(FEATURES):
+            assert row[f"theta_{c}"] == pytest.approx(fitted.theta.toArray()[row.label][i], abs=1e-9)
+
+
+class TestSplits:
+    def test_row_split_is_whole_and_repeats(self, matrix):
+        train, validation = split_rows(matrix)
+        assert rows(train.unionByName(validation)) == rows(matrix)
+        assert rows(split_rows(matrix)[0]) == rows(train)
+        assert abs(train.count() / matrix.count() - 0.7) < 0.15
+
+    def test_key_split_keeps_copies_together(self, matrix):
+        train, validation = split_keys(matrix)
+        assert train.count() + validation.count() == matrix.count()
+        assert train.join(validation, list(KEYS), "left_semi").count() == 0
+        assert rows(split_keys(matrix.repartition(7))[0]) == rows(train)
+
+    def test_folds_keep_copies_together(self, matrix):
+        folded = with_key_fold(matrix, 3)
+        assert {r.fold for r in folded.select("fold").distinct().collect()} == {0, 1, 2}
+        assert folded.groupBy(*KEYS).agg(F.countDistinct("fold").alias("n")).where("n > 1").count() == 0
+
+    def test_small_data_is_compacted_and_large_is_not(self, spark):
+        frame = spark.range(100).repartition(6)
+        assert compact(frame, 100).rdd.getNumPartitions() == 1
+        assert compact(frame, 300, rows_per_partition=100).rdd.getNumPartitions() == 3
+        assert compact(frame, 10_000, rows_per_partition=100).rdd.getNumPartitions() == 6
+
+
+class TestTraining:
+    def chosen(self):
+        return candidates({"Naive Bayes": {"smoothing": [0.0, 1.0]}, "Decision Tree": {"maxDepth": [2]}})
+
+    def test_ranking(self, spark, matrix, tmp_path):
+        ranking = train_and_rank(
+            matrix, self.chosen(), stored=True, models_path=str(tmp_path / "m"), runs_path=str(tmp_path / "r")
+        )
+        board = ranking.leaderboard.collect()
+        assert [r["F1-Score"] for r in board] == sorted((r["F1-Score"] for r in board), reverse=True)
+        assert board[0].Model == ranking.best_name
+        assert (tmp_path / "m" / "best_model").is_dir() and (tmp_path / "m" / "Decision Tree").is_dir()
+        assert ranking.grid_scores.count() == 3
+        runs = read_runs(spark, str(tmp_path / "r")).collect()
+        assert {r.model for r in runs} == {"Naive Bayes", "Decision Tree"}
+        assert len({r.run_id for r in runs}) == 1
+        scores = {r.Model: r["F1-Score"] for r in board}
+        assert all(r.value == scores[r.model] and r.params and r.model_path for r in runs)
+
+    @pytest.mark.parametrize("by_key", [False, True])
+    def test_equal_seeds_give_equal_scores(self, spark, tables, by_key):
+        fresh = _matrix(standins.events(spark, tables))
+        first = train_and_rank(fresh, self.chosen(), by_key=by_key)
+        second = train_and_rank(fresh, self.chosen(), by_key=by_key, concurrent=1, parallelism=1)
+        assert rows(first.scores) == rows(second.scores)
+        assert [r.mean_f1 for r in first.grid_scores.collect()] == [
+            r.mean_f1 for r in second.grid_scores.collect()
+        ]
+
+    def test_bad_feature_is_named(self, spark, matrix):
+        broken = matrix.withColumn("flighthours", F.when(F.col("label") == 0, F.col("flighthours")))
+        with pytest.raises(ValueError, match="flighthours"):
+            train_and_rank(broken, self.chosen())
+
+    def test_search_keeps_every_grid_point(self, spark, matrix):
+        (candidate,) = candidates(names=["Naive Bayes"])
+        found = search(candidate, matrix)
+        scores = grid_scores(spark, [(candidate, found)]).collect()
+        assert [r.params for r in scores] == [{"smoothing": s} for s in ("0.0", "1.0", "2.0")]
+        assert all(0 < r.mean_f1 <= 1 for r in scores)
+
+
+class TestScoring:
+    def test_saved_model_predicts_the_same(self, matrix, model, tmp_path):
+        path = save_model(model, str(tmp_path / "model"))
+        assert rows(score(matrix, load_model(path))) == rows(score(matrix, model))
+
+    def test_columns_and_verdict(self, matrix, model):
+        found = score(matrix, model)
+        assert found.columns == [*KEYS, *FEATURES, "model_name", "prediction", "verdict"]
+        for row in found.collect():
+            assert row.model_name == "NaiveBayes"
+            assert row.verdict.startswith("No ") == (row.prediction == 0)
+
+    def test_requests_without_features_give_no_rows(self, spark, build, model, tmp_path):
+        path = save_model(model, str(tmp_path / "model"))
+        asked = spark.createDataFrame([("XY-ABC", day(1))], "aircraftid string, date date")
+        assert score_requests(build.readings(), build.utilization(), asked, path).count() == 0
+
+    def test_stream_equals_batch_across_restarts(self, spark, tables, model, tmp_path):
+        features = stabilise(_features(standins.events(spark, tables)))
+        early = F.col("date") < F.lit(day(15))
+        landing, sink, progress = (str(tmp_path / n) for n in ("landing", "sink", "progress"))
+        schema = schemas.matrix(features.schema["aircraftid"].dataType, labelled=False)
+        features.where(early).write.parquet(landing)
+        for late in (False, False, True):
+            if late:
+                features.where(~early).write.mode("append").parquet(landing)
+            stream = arriving_features(spark, landing, schema, files_per_batch=1)
+            score_stream(stream, model, sink, progress).awaitTermination()
+        assert rows(spark.read.parquet(sink)) == rows(score(features, model))
+
+    def test_chain(self, spark, tables, tmp_path):
+        events = standins.events(spark, tables)
+        parts = standins.readings(events), standins.utilization(events)
+        asked = standins.requests(events)
+        found = run_all(
+            *parts,
+            standins.interruptions(events),
+            asked,
+            matrix_path=str(tmp_path / "matrix"),
+            models_path=str(tmp_path / "models"),
+            catalogue=candidates(SMALL_GRIDS, ["Decision Tree", "Naive Bayes"]),
+            matrix_options={"subsystem": standins.SUBSYSTEM, "kinds": standins.KINDS},
+        )
+        wanted = build_features(*parts, requests=asked)
+        assert rows(found, *wanted.columns) == rows(wanted)
+        assert {r.model_name.replace("ClassificationModel", "").replace("Classifier", "") for r in found.select("model_name").distinct().collect()} <= {"DecisionTree", "NaiveBayes"}
