@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from conftest import at, day, formatted, rows
 from upkeep import schemas
 from upkeep.functions.columns import rounded, verdict
-from upkeep.functions.keys import as_date, key_bucket, request_date
+from upkeep.functions.keys import as_date, asset_from_name, asset_from_path, key_bucket, request_date
 from upkeep.operators.daily import daily_means
 from upkeep.operators.validity import feature_validity, require_trainable
 from upkeep.plans.matrix import build_features, build_matrix, unmatched_requests
@@ -150,6 +150,16 @@ def test_verdict(spark):
     assert [r[0].split()[0] for r in frame.collect()] == ["No", "Unscheduled"]
 
 
+@pytest.mark.parametrize(
+    "name, asset",
+    [("010124-AAA-BBB-0001-XY-ABC.csv", "XY-ABC"), ("ABCDEF.csv", "ABCDEF"), ("AB.csv", "AB"), ("a.csv.XY-DEF.csv", "XY-DEF")],
+)
+def test_asset_from_path_and_name(spark, name, asset):
+    frame = spark.createDataFrame([(f"file:/in/x.csv/{name}", name)], "path string, name string")
+    found = frame.select(asset_from_path(F.col("path")), asset_from_name(F.col("name"))).first()
+    assert tuple(found) == (asset, asset)
+
+
 def test_key_bucket_ignores_type_and_spreads(spark):
     frame = spark.range(10_000).withColumn("text", F.col("id").cast("string"))
     both = frame.select(key_bucket(10, "id").alias("a"), key_bucket(10, "text").alias("b"))

@@ -11,7 +11,14 @@ from upkeep.learning.search import compact, grid_scores, model_name, search
 from upkeep.operators.bayes import naive_bayes_parameters
 from upkeep.operators.metrics import best, confusion_counts, rank, weighted_f1
 from upkeep.operators.splits import split_keys, split_rows, with_key_fold
-from upkeep.plans.chain import run_all, score_requests
+from upkeep.plans.chain import (
+    run_all,
+    score_requests,
+    score_stored,
+    store_matrix,
+    store_rows_to_score,
+    train_stored,
+)
 from upkeep.plans.matrix import build_features
 from upkeep.plans.scoring import score
 from upkeep.plans.training import train_and_rank
@@ -184,7 +191,7 @@ class TestScoring:
     def test_requests_without_features_give_no_rows(self, spark, build, model, tmp_path):
         path = save_model(model, str(tmp_path / "model"))
         asked = spark.createDataFrame([("XY-ABC", day(1))], "aircraftid string, date date")
-        assert score_requests(build.readings(), build.utilization(), asked, path).count() == 0
+        assert score_requests(build.readings(), build.utilization(), path, requests=asked).count() == 0
 
     def test_stream_equals_batch_across_restarts(self, spark, tables, model, tmp_path):
         features = stabilise(_features(standins.events(spark, tables)))
@@ -206,12 +213,30 @@ class TestScoring:
         found = run_all(
             *parts,
             standins.interruptions(events),
-            asked,
-            matrix_path=str(tmp_path / "matrix"),
-            models_path=str(tmp_path / "models"),
-            catalogue=candidates(SMALL_GRIDS, ["Decision Tree", "Naive Bayes"]),
+            str(tmp_path),
+            candidates(SMALL_GRIDS, ["Decision Tree", "Naive Bayes"]),
             matrix_options={"subsystem": standins.SUBSYSTEM, "kinds": standins.KINDS},
+            requests=asked,
         )
         wanted = build_features(*parts, requests=asked)
         assert rows(found, *wanted.columns) == rows(wanted)
-        assert {r.model_name.replace("ClassificationModel", "").replace("Classifier", "") for r in found.select("model_name").distinct().collect()} <= {"DecisionTree", "NaiveBayes"}
+        assert len({r.model_name for r in found.select("model_name").distinct().collect()}) == 1
+
+    @pytest.mark.parametrize("fmt", ["parquet", "csv"])
+    def test_steps_one_by_one(self, spark, tables, tmp_path, fmt):
+        folder = str(tmp_path)
+        events = standins.events(spark, tables)
+        parts = standins.readings(events), standins.utilization(events)
+        with pytest.raises(FileNotFoundError, match="matrix build"):
+            train_stored(spark, folder, fmt=fmt, schema=schemas.matrix())
+        with pytest.raises(FileNotFoundError):
+            score_requests(*parts, f"{folder}/best_model", aircraftid=7, date="2024-01-09")
+        chosen = {"subsystem": standins.SUBSYSTEM, "kinds": standins.KINDS}
+        schema = store_matrix(*parts, standins.interruptions(events), folder, fmt=fmt, **chosen)
+        train_stored(spark, folder, [bayes()], fmt=fmt, schema=schema)
+        day_asked = parts[1].select("timeid", "aircraftid").first()
+        one = {"aircraftid": day_asked.aircraftid, "date": day_asked.timeid}
+        store_rows_to_score(*parts, folder, fmt=fmt, **one)
+        rows_schema = schemas.matrix(schema["aircraftid"].dataType, labelled=False)
+        stored = score_stored(spark, folder, fmt=fmt, schema=rows_schema)
+        assert rows(stored) == rows(score_requests(*parts, f"{folder}/best_model", **one))

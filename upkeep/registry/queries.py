@@ -356,8 +356,8 @@ def score_batch(spark, folder):
     return score_requests(
         standins.readings(events),
         standins.utilization(events),
-        standins.requests(events),
         _saved_bayes(spark, folder),
+        requests=standins.requests(events),
     )
 
 
@@ -398,10 +398,9 @@ def end_to_end(spark, folder):
         standins.readings(events),
         standins.utilization(events),
         standins.interruptions(events),
-        standins.requests(events),
-        matrix_path=scratch(spark, "matrix"),
-        models_path=scratch(spark, "models"),
-        catalogue=candidates(SMALL_GRIDS, ["Naive Bayes"]),
+        scratch(spark, "chain"),
+        candidates(SMALL_GRIDS, ["Naive Bayes"]),
         matrix_options={"subsystem": standins.SUBSYSTEM, "kinds": standins.KINDS},
         training_options={"by_key": True},
+        requests=standins.requests(events),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.functions.keys import asset_from_path
+from upkeep.functions.keys import SUFFIX, asset_from_name
 from upkeep.schemas import READING_FILE
 from upkeep.sources.paths import require
 
@@ -14,11 +14,10 @@ def read_readings(
     spark: SparkSession,
     folder: str,
     *,
-    pattern: str = "*.csv",
     sep: str = ";",
     mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Scan all ``pattern`` files of ``folder``; add ``aircraftid`` from the file name.
+    """Scan all CSV files of ``folder``; add ``aircraftid`` from the file name.
 
     The folder is listed once and filtered by name, which scales to far more files than
     expanding a glob into one root path per file. Headers are checked against the schema.
@@ -29,7 +28,7 @@ def read_readings(
         .option("sep", sep)
         .option("mode", mode)
         .option("enforceSchema", False)
-        .option("pathGlobFilter", pattern)
+        .option("pathGlobFilter", f"*{SUFFIX}")
     )
     files = require(folder, "the export of sensor readings", lambda: scan.csv(folder))
-    return files.select("*", asset_from_path(F.col("_metadata.file_path")).alias("aircraftid"))
+    return files.select("*", asset_from_name(F.col("_metadata.file_name")).alias("aircraftid"))
