@@ -79,6 +79,24 @@ _FEATURES = (READINGS, MEANS, UTILIZATION, JOINED, FEATURE_ROWS)
 _MATRIX = (*_FEATURES, QUALIFYING, MATRIX)
 
 
+def _supplier_matrix(horizon: int) -> str:
+    return f"""
+with joined as (
+  select cast(l_shipdate as date) as date, l_suppkey as aircraftid, avg(l_quantity) as sensor_mean_value,
+         sum(l_extendedprice) as flighthours,
+         sum(case when l_returnflag = 'R' then l_extendedprice else 0.0 end) as delayedminutes,
+         count(*) as flightcycles
+  from lineitem group by 1, 2),
+qualifying as (
+  select l_suppkey as aircraftregistration, cast(l_shipdate as date) as starttime
+  from lineitem where l_linenumber = 1 and l_returnflag = 'R')
+select j.date, j.aircraftid, {_round('j.sensor_mean_value', 2)} as sensor_mean_value,
+       {_round('j.flighthours', 2)} as flighthours, {_round('j.delayedminutes', 2)} as delayedminutes,
+       j.flightcycles, cast(q.starttime is not null as int) as label
+from joined j left join qualifying q on j.aircraftid = q.aircraftregistration
+ and datediff('day', j.date, q.starttime) between 0 and {horizon - 1}"""
+
+
 def _rules(source: str, name: str) -> str:
     return f"""
 {name} as (
@@ -249,6 +267,8 @@ from matrix"""
         ),
         "forward_label_matrix": matrix,
         "forward_label_matrix_expanded": matrix,
+        "supplier_label_matrix": _supplier_matrix(7),
+        "supplier_label_matrix_interval": _supplier_matrix(90),
         "dedup_label_matrix": _with(*_FEATURES, QUALIFYING, DEDUPED, select="select * from deduped"),
         "lead_days": _with(
             *_FEATURES,

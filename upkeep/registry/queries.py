@@ -27,7 +27,6 @@ from upkeep.operators.validity import require_trainable
 from upkeep.plans.chain import run_all, score_requests
 from upkeep.plans.matrix import build_features, build_matrix
 from upkeep.plans.matrix import unmatched_requests as without_features
-from upkeep.plans.scoring import score
 from upkeep.plans.training import train_and_rank
 from upkeep.registry import standins
 from upkeep.sources.matrix import read_matrix, write_matrix
@@ -186,6 +185,32 @@ def dedup_label_matrix(spark, folder):
     return _matrix(standins.events(spark, folder), dedupe=True)
 
 
+@query
+def supplier_label_matrix(spark, folder):
+    lines = standins.lineitem(spark, folder)
+    return build_matrix(
+        standins.supplier_readings(lines),
+        standins.supplier_utilization(lines),
+        standins.supplier_interruptions(lines),
+        subsystem=standins.SUPPLIER_SUBSYSTEM,
+        kinds=standins.SUPPLIER_KINDS,
+    )
+
+
+@query
+def supplier_label_matrix_interval(spark, folder):
+    lines = standins.lineitem(spark, folder)
+    return build_matrix(
+        standins.supplier_readings(lines),
+        standins.supplier_utilization(lines),
+        standins.supplier_interruptions(lines),
+        subsystem=standins.SUPPLIER_SUBSYSTEM,
+        kinds=standins.SUPPLIER_KINDS,
+        horizon=90,
+        by_interval=True,
+    )
+
+
 @query
 def lead_days(spark, folder):
     events = standins.events(spark, folder)
@@ -369,7 +394,7 @@ def score_stream(spark, folder):
     schema = schemas.matrix(T.LongType(), labelled=False)
     stream = arriving_features(spark, arrived, schema)
     start_scoring(stream, model, sink, scratch(spark, "progress")).awaitTermination()
-    return spark.read.schema(score(_features(standins.events(spark, folder)), model).schema).parquet(sink)
+    return spark.read.parquet(sink)
 
 
 @query

@@ -1,4 +1,4 @@
-"""The three logical tables as views over the ``events`` table."""
+"""The logical tables as views over ``events``, and a larger set over ``lineitem``."""
 
 from __future__ import annotations
 
@@ -16,9 +16,22 @@ EVENTS = T.StructType(
     ]
 )
 
+LINEITEM = T.StructType(
+    [
+        T.StructField("l_suppkey", T.LongType()),
+        T.StructField("l_linenumber", T.IntegerType()),
+        T.StructField("l_quantity", T.DoubleType()),
+        T.StructField("l_extendedprice", T.DoubleType()),
+        T.StructField("l_returnflag", T.StringType()),
+        T.StructField("l_shipdate", T.TimestampNTZType()),
+    ]
+)
+
 # How interruptions are told apart in the stand-in tables.
 SUBSYSTEM = 3
 KINDS = ("error", "signup")
+SUPPLIER_SUBSYSTEM = 1
+SUPPLIER_KINDS = ("R",)
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,3 +72,36 @@ def requests(events: DataFrame) -> DataFrame:
     return events.where(F.col("event_type") == "signup").select(
         F.col("user_id").alias("aircraftid"), F.to_date("ts").alias("date")
     )
+
+
+def lineitem(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(LINEITEM).parquet(f"{folder}/lineitem.parquet")
+
+
+def supplier_readings(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(
+        F.col("l_shipdate").alias("date"),
+        F.col("l_returnflag").alias("series"),
+        F.col("l_quantity").alias("value"),
+        F.col("l_suppkey").alias("aircraftid"),
+    )
+
+
+def supplier_utilization(lineitem: DataFrame) -> DataFrame:
+    returned = F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice")).otherwise(F.lit(0.0))
+    return lineitem.groupBy(
+        F.col("l_suppkey").alias("aircraftid"), F.to_date("l_shipdate").alias("timeid")
+    ).agg(
+        F.sum("l_extendedprice").alias("flighthours"),
+        F.sum(returned).alias("delayedminutes"),
+        F.count(F.lit(1)).alias("flightcycles"),
+    )
+
+
+def supplier_interruptions(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(
+        F.col("l_linenumber").alias("subsystem"),
+        F.col("l_suppkey").alias("aircraftregistration"),
+        F.col("l_shipdate").alias("starttime"),
+        F.col("l_returnflag").alias("kind"),
+    )
