@@ -1,5 +1,3 @@
-import math
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,7 +23,6 @@ from upkeep.plans.training import train_and_rank
 from upkeep.registry import standins
 from upkeep.registry.queries import _features, _matrix
 from upkeep.schemas import MODEL_SCORES
-from upkeep.sources.matrix import write_matrix
 from upkeep.sources.models import load_model, read_runs, save_model
 from upkeep.streaming.scoring import arriving_features, score_stream
 from upkeep.workspace import stabilise
@@ -168,6 +165,10 @@ class TestTraining:
         with pytest.raises(ValueError, match="flighthours"):
             train_and_rank(broken, self.chosen())
 
+    def test_a_fold_without_rows_is_an_error(self, matrix):
+        with pytest.raises(ValueError, match="empty"):
+            search(bayes(), matrix.withColumn("fold", F.lit(0)), fold_column="fold")
+
     def test_search_keeps_every_grid_point(self, spark, matrix):
         (candidate,) = candidates(names=["Naive Bayes"])
         found = search(candidate, matrix)

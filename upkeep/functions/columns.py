@@ -20,6 +20,7 @@ def code_equals(df: DataFrame, column: str, code: int | str) -> Column:
     """``column = code`` whatever type the source gave the column.
 
     Codes in text may hold letters (``34AB``), which must not fail a comparison with a number.
+    Give the code of a text column as text to have the filter pushed into the source.
     """
     is_text = isinstance(df.schema[column].dataType, T.StringType)
     if is_text and isinstance(code, int):

@@ -35,8 +35,7 @@ def search(
 ) -> CrossValidatorModel:
     """Try every grid point on ``folds`` folds and refit the best on all of ``train``.
 
-    Folds are drawn by row, or read from ``fold_column``, which Spark checks with a Python
-    function per row: use it where copies of a key must share a fold.
+    Folds are drawn by row, or read from ``fold_column``, where copies of a key must share one.
     """
     validator = CrossValidator(
         estimator=stages(candidate, features),

@@ -15,7 +15,7 @@ from upkeep.defaults import FEATURES, KEYS, LABEL, SMALL_GRIDS
 from upkeep.functions.columns import rounded
 from upkeep.functions.columns import verdict as verdict_text
 from upkeep.functions.keys import asset_from_path
-from upkeep.learning.catalogue import assembler, candidates, f1_evaluator, stages
+from upkeep.learning.catalogue import assembler, candidates, stages
 from upkeep.learning.search import compact, grid_scores, search
 from upkeep.operators import metrics
 from upkeep.operators.bayes import naive_bayes_parameters
