@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from upkeep.sources.paths import require
@@ -18,8 +19,14 @@ def write_matrix(
     single_file: bool = False,
     partition_by: Sequence[str] = (),
 ) -> None:
-    """Replace ``path`` by ``df``. ``single_file`` funnels all rows through one task: small data only."""
-    out = df.coalesce(1) if single_file else df
+    """Replace ``path`` by ``df``.
+
+    ``single_file`` funnels all rows through one task: small data only. With ``partition_by`` rows
+    are first brought together by those columns, so that not every task writes to every folder;
+    adaptive execution splits a folder that holds very many.
+    """
+    out = df.hint("rebalance", *map(F.col, partition_by)) if partition_by else df
+    out = out.coalesce(1) if single_file else out
     writer = out.write.mode("overwrite").format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
