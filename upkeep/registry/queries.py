@@ -64,6 +64,18 @@ def _matrix(events: DataFrame, **how) -> DataFrame:
     )
 
 
+def _supplier_matrix(spark: SparkSession, folder: str, **how) -> DataFrame:
+    lines = standins.lineitem(spark, folder)
+    return build_matrix(
+        standins.supplier_readings(lines),
+        standins.supplier_utilization(lines),
+        standins.supplier_interruptions(lines),
+        subsystem=standins.SUPPLIER_SUBSYSTEM,
+        kinds=standins.SUPPLIER_KINDS,
+        **how,
+    )
+
+
 def _rules(matrix: DataFrame) -> DataFrame:
     """Predictions of three fixed rules, in long form: one pass over the matrix scores them all."""
     rules = [
@@ -187,28 +199,12 @@ def dedup_label_matrix(spark, folder):
 
 @query
 def supplier_label_matrix(spark, folder):
-    lines = standins.lineitem(spark, folder)
-    return build_matrix(
-        standins.supplier_readings(lines),
-        standins.supplier_utilization(lines),
-        standins.supplier_interruptions(lines),
-        subsystem=standins.SUPPLIER_SUBSYSTEM,
-        kinds=standins.SUPPLIER_KINDS,
-    )
+    return _supplier_matrix(spark, folder)
 
 
 @query
 def supplier_label_matrix_interval(spark, folder):
-    lines = standins.lineitem(spark, folder)
-    return build_matrix(
-        standins.supplier_readings(lines),
-        standins.supplier_utilization(lines),
-        standins.supplier_interruptions(lines),
-        subsystem=standins.SUPPLIER_SUBSYSTEM,
-        kinds=standins.SUPPLIER_KINDS,
-        horizon=90,
-        by_interval=True,
-    )
+    return _supplier_matrix(spark, folder, horizon=90, by_interval=True)
 
 
 @query
@@ -240,7 +236,8 @@ def request_features(spark, folder):
 @query
 def unmatched_requests(spark, folder):
     events = standins.events(spark, folder)
-    return without_features(standins.requests(events), _features(events))
+    requests = standins.requests(events)
+    return without_features(requests, _features(events, requests=requests))
 
 
 @query
