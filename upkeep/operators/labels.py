@@ -85,7 +85,7 @@ def interval_join(
         & (F.col("bucket") == F.col("start_bucket"))
         & within_horizon(F.col("starttime"), F.col("date"), horizon)
     )
-    return bucketed.join(entered, condition, how).drop("bucket", "start_bucket", "start_aircraftid")
+    return bucketed.join(entered, condition, how).select(*rows.columns, "starttime", "matches")
 
 
 def lead_day_counts(
@@ -99,28 +99,31 @@ def lead_day_counts(
     )
 
 
-def _labelled(df: DataFrame) -> DataFrame:
-    return df.withColumn(LABEL, F.col("matches").isNotNull().cast("int"))
+def _label() -> Column:
+    return F.col("matches").isNotNull().cast("int").alias(LABEL)
 
 
-def _copies(df: DataFrame, count: Column) -> DataFrame:
-    """Each row ``count`` times; the array behind it never exceeds one block."""
-    return df.withColumn("copy", F.explode(F.array_repeat(F.lit(0), count.cast("int")))).drop("copy")
+def _copy(count: Column) -> Column:
+    """Repeats a row ``count`` times; the array behind it never exceeds one block."""
+    return F.explode(F.array_repeat(F.lit(0), count.cast("int"))).alias("copy")
 
 
-def _first_block(df: DataFrame, block: int) -> DataFrame:
+def _first_block(joined: DataFrame, columns: Sequence[str], block: int) -> DataFrame:
+    """Every row, labelled, with its copies up to one block."""
     count = F.least(F.coalesce(F.col("matches"), F.lit(1)), F.lit(block))
-    return _copies(_labelled(df), count).drop("matches")
+    return joined.select(*columns, _label(), _copy(count))
 
 
-def _further_blocks(df: DataFrame, block: int, *spread: str) -> DataFrame:
-    """The copies beyond the first block, block by block, in as many tasks as there are blocks."""
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = _labelled(df).withColumn(
-        "block", F.explode(F.sequence(F.lit(1).cast("bigint"), F.floor((F.col("matches") - 1) / block)))
+def _further_blocks(joined: DataFrame, columns: Sequence[str], block: int) -> DataFrame:
+    """The copies beyond the first block, in as many tasks as there are blocks."""
+    tasks = int(joined.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = [c for c in (*JOIN_KEYS, "starttime") if c in columns]
+    last = F.floor((F.col("matches") - 1) / block)
+    blocks = joined.select(
+        *columns, "matches", F.explode(F.sequence(F.lit(1).cast("bigint"), last)).alias("block")
     )
     count = F.least(F.col("matches") - F.col("block") * block, F.lit(block))
-    return _copies(blocks.repartition(tasks, *spread, "block"), count).drop("matches", "block")
+    return blocks.repartition(tasks, *spread, "block").select(*columns, _label(), _copy(count))
 
 
 def label_by_interval(
@@ -136,13 +139,10 @@ def label_by_interval(
     """
     starts = counts_by_start(interruptions)
     heavy = starts.where(F.col("matches") > block).hint("rebalance")
-    return (
-        _first_block(interval_join(rows, starts, horizon), block)
-        .unionByName(
-            _further_blocks(interval_join(rows, heavy, horizon, "inner"), block, *JOIN_KEYS, "starttime")
-        )
-        .drop("starttime")
-    )
+    columns = [*rows.columns, "starttime"]
+    first = _first_block(interval_join(rows, starts, horizon), columns, block)
+    further = _further_blocks(interval_join(rows, heavy, horizon, "inner"), columns, block)
+    return first.unionByName(further).select(*rows.columns, LABEL)
 
 
 def label_by_day(
@@ -166,8 +166,8 @@ def label_by_day(
     matches = counts_by_day(interruptions, horizon)
     joined = rows.join(matches, list(JOIN_KEYS), "left")
     if dedupe:
-        return _labelled(joined).drop("matches")
+        return joined.select(*rows.columns, _label())
     heavy = matches.where(F.col("matches") > block).hint("rebalance")
-    return _first_block(joined, block).unionByName(
-        _further_blocks(rows.join(heavy, list(JOIN_KEYS), "inner"), block, *JOIN_KEYS)
-    )
+    first = _first_block(joined, rows.columns, block)
+    further = _further_blocks(rows.join(heavy, list(JOIN_KEYS), "inner"), rows.columns, block)
+    return first.unionByName(further).select(*rows.columns, LABEL)

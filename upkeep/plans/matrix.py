@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from upkeep.defaults import FEATURES, HORIZON_DAYS, KEYS, KINDS, LABEL, SCALE, SUBSYSTEM
+from upkeep.defaults import FEATURES, HORIZON_DAYS, KINDS, SCALE, SUBSYSTEM
 from upkeep.functions.columns import rounded
 from upkeep.functions.keys import as_date, request_date
 from upkeep.operators.daily import (
@@ -92,7 +92,5 @@ def build_matrix(
     features = build_features(readings, utilization, scale=scale)
     events = qualifying(interruptions, subsystem, kinds)
     if by_interval:
-        labelled = label_by_interval(features, events, horizon=horizon)
-    else:
-        labelled = label_by_day(features, events, horizon=horizon, dedupe=dedupe)
-    return labelled.select(*KEYS, *FEATURES, LABEL)
+        return label_by_interval(features, events, horizon=horizon)
+    return label_by_day(features, events, horizon=horizon, dedupe=dedupe)
