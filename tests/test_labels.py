@@ -69,6 +69,13 @@ def test_dedupe_and_interval_exclude_each_other(build):
         labels(build, dedupe=True, by_interval=True)
 
 
+@pytest.mark.parametrize("label", BOTH)
+def test_rows_without_a_day_are_kept(spark, build, label):
+    features = spark.createDataFrame([("XY-ABC", None), ("XY-ABC", day(10))], "aircraftid string, date date")
+    events = qualifying(build.interruptions((at(11), "XY-ABC"), (None, "XY-ABC"), (at(11), None)))
+    assert rows(label(features, events)) == [("XY-ABC", None, 0), ("XY-ABC", day(10), 1)]
+
+
 def expected(features, starts, horizon):
     """Brute force over all pairs."""
     out = Counter()
