@@ -89,6 +89,16 @@ class TestFeatures:
             (day(1), "XY-DEF", 3.0, 1.0, 0.0, 1),
         ]
 
+    def test_repeated_utilization_repeats_the_row(self, build):
+        readings = build.readings((at(1), 3.0, "XY-DEF"))
+        used = build.utilization((day(1), "XY-DEF", 1.0, 0.0, 1), (day(1), "XY-DEF", 2.0, 0.0, 1))
+        found = build_matrix(readings, used, build.interruptions((at(2), "XY-DEF"), (at(3), "XY-DEF")))
+        assert rows(found, "flighthours", "label") == [(1.0, 1), (1.0, 1), (2.0, 1), (2.0, 1)]
+
+    def test_means_are_formed_before_the_shuffle(self, spark, tables):
+        plan = formatted(daily_means(standins.readings(standins.events(spark, tables))))
+        assert "partial_avg" in plan and plan.count("Exchange") == 2  # once in the tree, once below
+
     def test_one_asset_and_day(self, build):
         found = build_features(*small(build), aircraftid="XY-DEF", date="2024-01-01")
         assert rows(found, "aircraftid", "sensor_mean_value") == [("XY-DEF", 3.0)]

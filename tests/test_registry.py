@@ -3,6 +3,7 @@ import pytest
 import __spark_entry__ as contract
 from bench import HEADLINE
 from compare import rows_of
+from conftest import formatted
 
 ROWS_ONLY = {
     "clf_decision_tree",
@@ -39,3 +40,12 @@ def test_leaderboard_ranks_all_six(spark, tables):
     board = contract.queries()["leaderboard"](spark, tables).collect()
     assert len(board) == 6
     assert [r["F1-Score"] for r in board] == sorted((r["F1-Score"] for r in board), reverse=True)
+
+
+@pytest.mark.parametrize(
+    "name", ["forward_label_matrix", "forward_label_matrix_expanded", "score_batch", "weighted_f1", "request_features"]
+)
+def test_plans_hold_no_python_and_no_cross_join(spark, tables, name):
+    plan = formatted(contract.queries()[name](spark, tables))
+    for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert operator not in plan
