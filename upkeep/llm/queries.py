@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from upkeep.llm.chat import format_conversations, read_back
 from upkeep.llm.packing import pack
 from upkeep.llm.sequences import encode_documents
 from upkeep.llm.sharding import shard
+from upkeep.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -24,6 +26,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A conversation whose texts look like marks and escapes.
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+@query
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = [(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)]
+    tricky = spark.createDataFrame(tricky, "conv_id long, turn long, role string, text string")
+    read = read_back(format_conversations(conversations.unionByName(tricky)))
+    turn = lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", turn), ""), 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"))
@@ -40,6 +63,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), max_bits=4, shingle=4)
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
