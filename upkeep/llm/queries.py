@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from upkeep.llm.chat import format_conversations, read_back
 from upkeep.llm.packing import pack
+from upkeep.llm.quality import judged, trusted_ids
 from upkeep.llm.sequences import encode_documents
 from upkeep.llm.sharding import shard
 from upkeep.llm.simhash import near_duplicates
@@ -80,5 +81,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(table(spark, sf_dir, "documents"), shards=40)
 
 
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    rows, name = judged(docs.select("doc_id", "text"), trusted_ids(labels))
+    return rows.select("doc_id", f"{name}.*")
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
