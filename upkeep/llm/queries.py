@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upkeep.llm.chat import format_conversations, read_back
+from upkeep.llm.lines import dedup_lines
 from upkeep.llm.packing import pack
 from upkeep.llm.quality import judged, trusted_ids
 from upkeep.llm.sequences import encode_documents
@@ -71,6 +72,14 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, name = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    dropped = F.size(F.col(name)["dropped"]).cast("long")
+    text = F.coalesce("text", F.lit(""))
+    return rows.select("doc_id", f"{name}.n_lines", dropped.alias("n_dropped"), F.sha2(text, 256).alias("kept_sha256"))
+
+
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
