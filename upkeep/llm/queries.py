@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upkeep.llm.chat import format_conversations, read_back
+from upkeep.llm.decontaminate import contaminated
 from upkeep.llm.lines import dedup_lines
 from upkeep.llm.packing import pack
 from upkeep.llm.quality import judged, trusted_ids
@@ -80,6 +81,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", f"{name}.n_lines", dropped.alias("n_dropped"), F.sha2(text, 256).alias("kept_sha256"))
 
 
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
