@@ -1,7 +1,9 @@
 """Benchmark decontamination: BM25 retrieval by block-max WAND, then a check of the overlap.
 
 The test items form an inverted index. Documents are read as overlapping passages, and every
-passage of every document is a query. An item's threshold is the least score that a passage can
+passage of every document is a query. Items stand in blocks, and every term has a maximum for each
+block: blocks whose maxima cannot add up to the threshold are skipped, the others are searched by
+WAND, which moves to the first item whose maxima can. An item's threshold is the least score that a passage can
 have if it holds 80 % of the item's five-word shingles, so retrieval loses no such passage: impacts
 are divided by that threshold, and all items at 1 or more are retrieved. A retrieved item counts
 if 80 % of its shingles stand in the passage, and half of the words of its question and its answer.
@@ -15,6 +17,7 @@ from __future__ import annotations
 import math
 import string
 import uuid
+from bisect import bisect_left
 from collections import Counter
 
 import numpy as np
@@ -26,8 +29,8 @@ from upkeep.llm.common import documents, worker_state
 
 SHINGLE, SIMILARITY, PART_OVERLAP = 5, 0.8, 0.5
 K1, B = 1.2, 0.75
-#: Postings of a block that has its own maximum.
-BLOCK = 16
+#: Items of a block at least, and blocks at most. Every term has a maximum for each block.
+BLOCK, BLOCKS = 8, 64
 #: Bytes of item text that are indexed and broadcast at once; more items are searched in several passes.
 INDEX_BYTES = 16 << 20
 _APART = bytes(32 if chr(c) in string.punctuation else c for c in range(256))
@@ -66,6 +69,9 @@ class Index:
     def __init__(self, items: list[tuple[int, str]]):
         kept = [(i, words_of(t or ""), t or "") for i, t in items]
         kept = [x for x in kept if x[1]]
+        # Items with words in common stand together, which keeps the maxima of blocks low.
+        often = Counter(w for x in kept for w in set(x[1]))
+        kept.sort(key=lambda x: sorted(((-often[w], w) for w in set(x[1])))[:3])
         self.ids = [x[0] for x in kept]
         self.shingles = [shingles(x[1]) for x in kept]
         self.parts = [parts_of(x[2]) for x in kept]
@@ -88,61 +94,48 @@ class Index:
         self.term = {w: i + 1 for i, w in enumerate(postings)}  # 0: a word that no item has
         self.items = [np.zeros(0, np.int64)] + [np.array([p[0] for p in x]) for x in postings.values()]
         self.impacts = [np.zeros(0)] + [np.array([p[1] for p in x]) for x in postings.values()]
-        self.most = np.array([x.max(initial=0.0) for x in self.impacts])
-        self.block_max = [[float(x[a : a + BLOCK].max()) for a in range(0, len(x), BLOCK)] for x in self.impacts]
         self.lists = [(i.tolist(), x.tolist()) for i, x in zip(self.items, self.impacts)]
-
-    def retrieve(self, terms: list[int]) -> list[tuple[int, float]]:
-        """All items whose relative score is 1 or more, by block-max WAND over the distinct terms."""
-        cursors = [[self.lists[t][0][0], 0, t] for t in terms]  # item, place, term
-        found, goal = [], 1 - 1e-9
+        # Maxima of each term by block of items; row 0 is for words that no item has.
+        self.size = max(BLOCK, -(-len(kept) // BLOCKS))
+        self.most = np.zeros((len(self.items), max(1, -(-len(kept) // self.size))))
+        for t, (items, x) in enumerate(zip(self.items, self.impacts)):
+            np.maximum.at(self.most[t], items // self.size, x)
+
+    def retrieve(self, terms: list[int], block: int) -> list[tuple[int, float]]:
+        """The items of a block whose relative score is 1 or more, by WAND over the distinct terms."""
+        low, high = block * self.size, (block + 1) * self.size
+        cursors = []  # item, place in the term's list, its end, term
+        for t in terms:
+            items = self.lists[t][0]
+            place, end = bisect_left(items, low), bisect_left(items, high)
+            if place < end:
+                cursors.append([items[place], place, end, t])
+        most, found, goal = self.most[:, block], [], 1 - 1e-9
         while cursors:
             cursors.sort()
             bound, pivot = 0.0, -1
-            for k, (_, _, t) in enumerate(cursors):
-                bound += self.most[t]
+            for k, c in enumerate(cursors):
+                bound += most[c[3]]
                 if bound >= goal:
                     pivot = k
                     break
             if pivot < 0:
                 break
             item = cursors[pivot][0]
-            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
-                pivot += 1
-            tight, edge = 0.0, len(self.ids)
-            for c in cursors[: pivot + 1]:
-                items = self.lists[c[2]][0]
-                block = self.place(items, c[1], item) // BLOCK
-                if block < len(self.block_max[c[2]]):
-                    tight += self.block_max[c[2]][block]
-                    edge = min(edge, items[min(len(items), (block + 1) * BLOCK) - 1] + 1)
-            if pivot + 1 < len(cursors):
-                edge = min(edge, cursors[pivot + 1][0])
-            if tight < goal:
-                goto = max(edge, item + 1)  # no item before the nearest block's end can reach the goal
-            elif cursors[0][0] == item:
-                score = sum(self.lists[t][1][place] for _, place, t in cursors[: pivot + 1])
+            if cursors[0][0] == item:
+                here = [c for c in cursors if c[0] == item]
+                score = sum(self.lists[c[3]][1][c[1]] for c in here)
                 if score >= goal:
                     found.append((item, score))
-                goto = item + 1
-            else:
-                goto = item
-            ahead = []
-            for c in cursors[: pivot + 1]:
-                items = self.lists[c[2]][0]
-                c[1] = self.place(items, c[1], goto)
-                if c[1] < len(items):
-                    c[0] = items[c[1]]
-                    ahead.append(c)
-            cursors = ahead + cursors[pivot + 1 :]
+                item += 1
+            for c in cursors:
+                if c[0] < item:
+                    items = self.lists[c[3]][0]
+                    c[1] = bisect_left(items, item, c[1], c[2])
+                    c[0] = items[c[1]] if c[1] < c[2] else high
+            cursors = [c for c in cursors if c[1] < c[2]]
         return found
 
-    @staticmethod
-    def place(items: list[int], start: int, item: int) -> int:
-        from bisect import bisect_left
-
-        return bisect_left(items, item, start)
-
     def search(self, text: str) -> list[tuple]:
         """(item, score, similarity, question overlap, answer overlap) of each item that the text holds."""
         words = words_of(text)
@@ -150,18 +143,20 @@ class Index:
             return []
         terms = np.fromiter(map(self.term.get, words, (0,) * len(words)), np.int32, len(words))
         step = max(1, self.window // 2)
-        sums = np.concatenate([[0.0], np.cumsum(self.most[terms])])
         starts = np.arange(0, max(1, len(words) - step), step)
         ends = np.minimum(starts + self.window, len(words))
+        # For all passages and blocks: the sum of the block's maxima, an upper bound of its items' scores.
+        known = np.flatnonzero(terms)
+        sums = np.zeros((len(known) + 1, self.most.shape[1]))
+        np.cumsum(self.most[terms[known]], axis=0, out=sums[1:])
+        bounds = sums[np.searchsorted(known, ends)] - sums[np.searchsorted(known, starts)]
         best: dict[int, tuple] = {}
-        for start, end in zip(starts.tolist(), ends.tolist()):
-            if sums[end] - sums[start] < 1 - 1e-6:  # the sum of all list maxima
-                continue
+        for k in np.flatnonzero((bounds >= 1 - 1e-6).any(1)).tolist():
+            start, end = int(starts[k]), int(ends[k])
             distinct = np.unique(terms[start:end])
             distinct = distinct[distinct > 0]
-            if self.most[distinct].sum() < 1 - 1e-9:
-                continue
-            found = self.retrieve(distinct.tolist())
+            able = np.flatnonzero(self.most[distinct].sum(0) >= 1 - 1e-9).tolist()
+            found = [x for block in able for x in self.retrieve(distinct.tolist(), block)]
             if not found:
                 continue
             passage = words[start:end]
