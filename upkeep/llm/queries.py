@@ -12,6 +12,7 @@ from upkeep.llm.decontaminate import contaminated
 from upkeep.llm.lines import dedup_lines
 from upkeep.llm.packing import pack
 from upkeep.llm.quality import judged, trusted_ids
+from upkeep.llm.scoring import score_documents
 from upkeep.llm.sequences import encode_documents
 from upkeep.llm.sharding import shard
 from upkeep.llm.simhash import near_duplicates
@@ -73,6 +74,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@query
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, name = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
