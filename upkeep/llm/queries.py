@@ -12,6 +12,7 @@ from upkeep.llm.decontaminate import contaminated
 from upkeep.llm.lines import dedup_lines
 from upkeep.llm.packing import pack
 from upkeep.llm.quality import judged, trusted_ids
+from upkeep.llm.repeats import remove_repeats
 from upkeep.llm.scoring import score_documents
 from upkeep.llm.sequences import encode_documents
 from upkeep.llm.sharding import shard
@@ -109,5 +110,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", f"{name}.*")
 
 
+@query
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
