@@ -52,15 +52,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fingerprint (long, the same 64 bits signed) of every row."""
-    rows = documents(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("text"))
+    """doc_id, tie (a hash of the text) and fingerprint (long, the same 64 bits signed) of every row."""
+    rows = documents(docs, id_col, text_col)
+    rows = rows.select("doc_id", F.xxhash64("text").alias("tie"), F.col("text").cast("binary").alias("text"))
 
     def make(batches):
         for batch in batches:
             values = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")], "<u8")
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "fingerprint": values.view("<i8")})
+            yield pa.record_batch(
+                {"doc_id": batch.column("doc_id"), "tie": batch.column("tie"), "fingerprint": values.view("<i8")}
+            )
 
-    return rows.mapInArrow(make, "doc_id long, fingerprint long")
+    return rows.mapInArrow(make, "doc_id long, tie long, fingerprint long")
 
 
 def segment_counts(bits: np.ndarray) -> np.ndarray:
@@ -168,6 +171,16 @@ def near_links(found: DataFrame, max_bits: int) -> DataFrame:
     return dealt.mapInArrow(link, "u long, v long")
 
 
+def classes(docs: DataFrame, max_bits: int, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, tie, fingerprint, root (a fingerprint that names the component) and component_id of every row."""
+    made = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    found = made.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
+    roots = components(near_links(found.select("fingerprint"), max_bits)).withColumnRenamed("node", "fingerprint")
+    rooted = found.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return made.join(rooted.join(least, "root").select("fingerprint", "root", "component_id"), "fingerprint")
+
+
 def near_duplicates(
     docs: DataFrame, max_bits: int = 4, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -177,11 +190,26 @@ def near_duplicates(
     is the smallest doc_id that a row reaches over links, its own included. Null and empty texts
     have fingerprint zero and are linked like any other. A null doc_id counts for no minimum, so a
     component of null ids only has a null id. Repeated rows stay. An empty table gives no rows.
+    Other columns are ignored.
     """
-    made = stored(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    found = made.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    roots = components(near_links(found.select("fingerprint"), max_bits)).withColumnRenamed("node", "fingerprint")
-    rooted = found.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(least, "root").select("fingerprint", "component_id")
-    return made.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    return classes(docs, max_bits, shingle, id_col, text_col).select("doc_id", "fingerprint", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, max_bits: int = 4, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id (null last), then text hash."""
+    rows = classes(docs, max_bits, shingle, id_col, text_col)
+    rows = rows.groupBy("root", "doc_id", "tie").agg(F.count("*").alias("n"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "n")).alias("best")
+    chosen = stored(rows.groupBy("root").agg(best).select("best.doc_id", "best.tie", "best.n"), "representatives")
+
+    def kept(some: DataFrame) -> DataFrame:
+        tie = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+        same = docs[id_col].cast("long").eqNullSafe(some["doc_id"]) & (tie == some["tie"])
+        return docs.join(some, same, "left_semi")
+
+    single, repeated = kept(chosen.where("n = 1")), chosen.where("n > 1")
+    if repeated.isEmpty():
+        return single
+    return single.unionByName(kept(repeated).dropDuplicates([id_col, text_col]))
