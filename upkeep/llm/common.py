@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from upkeep.workspace import scratch
 
 #: White space that separates words: space and U+0009 to U+000D.
 SPACE = r"[\x20\x09-\x0D]+"
+MARKS = " \t\n\x0b\f\r"
 
 
 def documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -32,10 +34,15 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it from there ever after."""
+    """Write ``df`` once to the shared folder and read it from there ever after.
+
+    Spark keeps the shuffle files of a finished job until the driver collects its garbage, which
+    may be long after; asking for it here frees the executors' disks for the next job.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.options(**options).parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -48,9 +55,20 @@ def removed(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def words(text: Column) -> Column:
+def word_array(text: Column) -> Column:
     """The words of ``text`` in order."""
-    return F.filter(F.split(text, SPACE), lambda w: w != "")
+    trimmed = F.btrim(text, F.lit(MARKS))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often the body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def numbers(count: Column) -> Column:
+    """0, 1, ... up to ``count`` - 1; empty for none."""
+    return F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
 
 
 def worker_state() -> dict:

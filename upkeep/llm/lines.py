@@ -14,18 +14,12 @@ never listed. The edit distance of each such pair is verified on the words.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.common import SPACE, fresh, stored
+from upkeep.llm.common import MARKS, fresh, let, numbers, stored, word_array
 
 NEAR_WORDS = 8
-MARKS = " \t\n\x0b\f\r"
-
-
-def line_words(line: Column) -> Column:
-    trimmed = F.btrim(line, F.lit(MARKS))
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
 
 
 def anchors(words: Column) -> Column:
@@ -43,20 +37,52 @@ def anchors(words: Column) -> Column:
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """Every line with a word: its place, two hashes of its words, their number, and anchors."""
+    """Every line with a word: its place, two hashes of its words, and the anchors of longer lines."""
     lines = docs.select("doc_id", "tie", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.withColumn("words", line_words(F.col("line"))).where(F.size("words") > 0)
-    near = F.when(F.size("words") >= NEAR_WORDS, anchors(F.col("words")))
-    return lines.select(
-        "doc_id",
-        "tie",
-        "pos",
-        F.xxhash64("words").alias("h1"),
-        F.xxhash64(F.lit(1), "words").alias("h2"),
-        near.alias("anchors"),
+    hashes = lambda w: F.struct(
+        F.xxhash64(w).alias("h1"),
+        F.xxhash64(F.lit(1), w).alias("h2"),
+        F.when(F.size(w) >= NEAR_WORDS, anchors(w)).alias("anchors"),
+    )
+    worded = lines.where(F.btrim("line", F.lit(MARKS)) != "")
+    return worded.select("doc_id", "tie", "pos", let(word_array(F.col("line")), hashes).alias("x")).select(
+        "doc_id", "tie", "pos", "x.*"
     )
 
 
+def variants(words: Column) -> Column:
+    """Keys of a line's deletion neighbourhood: (kind, key).
+
+    Kind 0 lacks the word at a position that the key knows; equal keys are lines that differ there
+    at most. Kind 1 lacks a word anywhere and equals kind 2, the whole line, of a line without it;
+    these keys combine hashes of neighbouring words, so that each takes constant time.
+    """
+    word = lambda w, i: F.coalesce(F.get(w, i), F.lit(""))
+    link = lambda w, i: F.xxhash64(word(w, i - 1), word(w, i))
+    every = lambda hashes: F.aggregate(hashes, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
+    entry = lambda kind, *parts: F.struct(F.lit(kind).alias("kind"), F.xxhash64(*parts).alias("key"))
+
+    def of(w: Column) -> Column:
+        n = F.size(w)
+        placed = F.transform(w, lambda x, k: F.xxhash64(x, k))
+        links = F.transform(F.sequence(F.lit(0), n), lambda i: link(w, i))
+
+        def masked(h: Column) -> Column:
+            return let(every(h), lambda all_: F.transform(h, lambda x, k: entry(0, F.lit(0), n, k, all_.bitwiseXOR(x))))
+
+        def shorter(g: Column) -> Column:
+            def without(all_: Column, i: Column) -> Column:
+                joined = F.xxhash64(word(w, i - 1), word(w, i + 1))
+                return all_.bitwiseXOR(g[i]).bitwiseXOR(g[i + 1]).bitwiseXOR(joined)
+
+            deleted = lambda all_: F.transform(numbers(n), lambda i: entry(1, F.lit(1), n - 1, without(all_, i)))
+            return let(every(g), lambda all_: F.concat(deleted(all_), F.array(entry(2, F.lit(1), n, all_))))
+
+        return F.concat(let(placed, masked), let(links, shorter))
+
+    return let(words, of)
+
+
 def one_edit(a: Column, b: Column) -> Column:
     """Whether two sequences of words differ by one edit at most."""
     n, m = F.size(a), F.size(b)
@@ -73,57 +99,68 @@ def one_edit(a: Column, b: Column) -> Column:
     )
 
 
-def near_repeats(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(h1, h2) of the lines that an earlier line resembles by one edit."""
+def close_lines(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """rank, h1, h2 and words of the distinct lines that share an end with another; ranks follow their order."""
     ends = lines.where("anchors is not null").select("h1", F.explode("anchors").alias("anchor"))
     shared = ends.groupBy("anchor").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high")
     close = ends.join(shared.select("anchor"), "anchor", "left_semi").select("h1").distinct()
-    places = firsts.join(close, "h1", "left_semi").select("h1", "h2", "first.*")
-    places = places.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("h1", "h2", "pos")).alias("places"))
+    places = firsts.join(close, "h1", "left_semi").groupBy("doc_id", "tie")
+    places = stored(places.agg(F.collect_list(F.struct("h1", "h2", "pos")).alias("places")), "line-places")
     same = docs["doc_id"].eqNullSafe(places["doc_id"]) & (docs["tie"] == places["tie"])
     held = docs.join(places, same).select(docs["doc_id"], docs["tie"], F.split("text", "\n").alias("split"), "places")
-    place = F.explode("places").alias("p")
-    words = held.select("doc_id", "tie", "split", place).select(
-        F.struct("doc_id", "tie", "p.pos").alias("first"), "p.h1", "p.h2", line_words(F.col("split")[F.col("p.pos")]).alias("words")
+    held = held.select("doc_id", "tie", "split", F.explode("places").alias("p")).select(
+        "p.h1", "p.h2", "doc_id", "tie", "p.pos", F.col("split")[F.col("p.pos")].alias("line")
     )
-    close = stored(words.where(F.size("words") >= NEAR_WORDS).dropDuplicates(["h1", "h2"]), "close-lines")
-
-    me = F.struct("first", "h1", "h2").alias("me")
-    each = close.select(me, F.size("words").alias("n"), F.posexplode("words").alias("k", "w"))
-    each = each.withColumns({"here": F.xxhash64("w", "k"), "left": F.xxhash64("w", F.col("k") - 1)})
-    line = Window.partitionBy("me.h1", "me.h2")
-    upto = line.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    whole, moved = F.bit_xor("here").over(line), F.bit_xor("left").over(line)
-    before = F.bit_xor("here").over(upto).bitwiseXOR(F.col("here"))
-    after = moved.bitwiseXOR(F.bit_xor("left").over(upto))
-    each = each.select("me", "n", "k", "here", whole.alias("whole"), before.bitwiseXOR(after).alias("gone"))
-    replaced = F.struct(F.lit(0).alias("kind"), F.xxhash64(F.lit(0), "n", "k", F.col("whole").bitwiseXOR(F.col("here"))).alias("key"))
-    deleted = F.struct(F.lit(1).alias("kind"), F.xxhash64(F.lit(1), F.col("n") - 1, "gone").alias("key"))
-    full = F.struct(F.lit(2).alias("kind"), F.xxhash64(F.lit(1), "n", "whole").alias("key"))
-    keys = F.when(F.col("k") == 0, F.array(replaced, deleted, full)).otherwise(F.array(replaced, deleted))
-    keys = stored(each.select("me", F.explode(keys).alias("v")).select("v.*", "me"), "line-variants")
-
-    kinds = {f"least{i}": F.min(F.when(F.col("kind") == i, F.col("me"))) for i in range(3)}
-    groups = keys.groupBy("key").agg(F.count("*").alias("n"), *[c.alias(n) for n, c in kinds.items()]).where("n > 1")
+    held = held.dropDuplicates(["h1", "h2"]).orderBy("doc_id", "tie", "pos")
+    words = word_array(F.col("line")).alias("words")
+    return stored(held.select(F.monotonically_increasing_id().alias("rank"), "h1", "h2", words), "close-lines")
+
+
+def verified(pairs: DataFrame, close: DataFrame) -> DataFrame:
+    """``pairs`` of rank and earlier with ``near``: whether one edit leads from one to the other."""
+    mine = close.select("rank", "words")
+    theirs = close.select(F.col("rank").alias("earlier"), F.col("words").alias("before"))
+    near = one_edit(F.col("words"), F.col("before")).alias("near")
+    return pairs.join(mine, "rank").join(theirs, "earlier").select("rank", "earlier", near)
+
+
+def near_repeats(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(h1, h2) of the lines that an earlier line resembles by one edit."""
+    close = close_lines(docs, lines, firsts)
+    keys = close.select("rank", F.explode(variants(F.col("words"))).alias("v")).select("v.*", "rank")
+    keys = stored(keys, "line-variants", compression="zstd")
+    least = [F.min(F.when(F.col("kind") == i, F.col("rank"))).alias(f"least{i}") for i in range(3)]
+    groups = keys.groupBy("key").agg(F.count("*").alias("n"), *least).where("n > 1")
     lead = F.when(F.col("kind") == 0, F.col("least0")).when(F.col("kind") == 1, F.col("least2")).otherwise(F.col("least1"))
-    pairs = keys.join(groups, "key").select("me", lead.alias("lead")).where("lead < me")
-    pairs = pairs.select("me.h1", "me.h2", F.col("lead.h1").alias("l1"), F.col("lead.h2").alias("l2")).distinct()
-    mine = close.select("h1", "h2", "words")
-    theirs = close.select(F.col("h1").alias("l1"), F.col("h2").alias("l2"), F.col("words").alias("earlier"))
-    verified = pairs.join(mine, ["h1", "h2"]).join(theirs, ["l1", "l2"]).where(one_edit(F.col("words"), F.col("earlier")))
-    return verified.select("h1", "h2").distinct()
+    pairs = keys.join(groups, "key").select("key", "kind", "rank", lead.alias("earlier")).where("earlier < rank")
+    pairs = stored(pairs, "line-pairs")
+    first = stored(verified(pairs.select("rank", "earlier").distinct(), close), "line-verdicts")
+    found = first.where("near").select("rank")
+    failed = first.where("not near").select("rank", "earlier")
+    if not failed.isEmpty():
+        # Equal keys of different variants: their lines meet all earlier lines with the key, not the first only.
+        again = pairs.join(failed, ["rank", "earlier"], "left_semi").select("key", "kind", "rank")
+        other = F.when(F.col("kind") == 0, 0).otherwise(3 - F.col("kind"))
+        members = keys.select("key", F.col("kind").alias("other"), F.col("rank").alias("earlier"))
+        more = again.withColumn("other", other).join(members, ["key", "other"]).where("earlier < rank")
+        more = verified(more.select("rank", "earlier").distinct(), close)
+        found = found.unionByName(more.where("near").select("rank"))
+    return close.join(found.distinct(), "rank", "left_semi").select("h1", "h2")
 
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """doc_id, tie, n_lines (with a word) and dropped (sorted line numbers) of documents with such lines."""
-    lines = stored(line_table(docs), "lines")
+    lines = stored(line_table(docs), "lines", compression="zstd")
     firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "tie", "pos")).alias("first"))
+    firsts = stored(firsts.select("h1", "h2", "first.*"), "first-lines", compression="zstd")
     near = near_repeats(docs, lines, firsts).withColumn("near", F.lit(True))
-    judged = firsts.join(near, ["h1", "h2"], "left")
-    goes = F.coalesce("near", F.lit(False)) | ~F.struct("doc_id", "tie", "pos").eqNullSafe(F.col("first"))
+    place = F.struct("doc_id", "tie", "pos")
+    judged = firsts.select("h1", "h2", place.alias("first")).join(near, ["h1", "h2"], "left")
+    goes = F.coalesce("near", F.lit(False)) | ~place.eqNullSafe(F.col("first"))
     marked = lines.drop("anchors").join(judged, ["h1", "h2"]).select("doc_id", "tie", "pos", goes.alias("goes"))
     dropped = F.sort_array(F.collect_set(F.when(F.col("goes"), F.col("pos"))))
-    return marked.groupBy("doc_id", "tie").agg(F.count_distinct("pos").alias("n_lines"), dropped.alias("dropped"))
+    found = marked.groupBy("doc_id", "tie").agg(F.count_distinct("pos").alias("n_lines"), dropped.alias("dropped"))
+    return stored(found, "dropped-lines", compression="zstd")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
