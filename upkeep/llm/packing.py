@@ -49,13 +49,13 @@ def plan(lengths: list[int], window: int = WINDOW, tiers: int = TIERS) -> tuple[
         if length > whole:
             pool.append((length - whole, piece, whole))
     pool.sort()
-    rest: list[tuple] = []
+    left = sum(x[0] for x in pool)
     for tier in range(tiers):
         size = window >> tier
         floor = size // 2 if tier < tiers - 1 else 0  # a tier's own documents are longer than this
-        while pool and pool[-1][0] > floor:
+        while left >= size and pool[-1][0] > floor:
             free, filled = size, []
-            while free and pool:
+            while free:
                 at = bisect_right(pool, (free, len(lengths), 0)) - 1
                 length, piece, start = pool.pop(at if at >= 0 else 0)
                 used = min(length, free)
@@ -63,10 +63,9 @@ def plan(lengths: list[int], window: int = WINDOW, tiers: int = TIERS) -> tuple[
                 free -= used
                 if length > used:
                     insort(pool, (length - used, piece, start + used))
-            if free:  # no piece is left
-                rest = filled
-            else:
-                full.append(filled)
+            full.append(filled)
+            left -= size
+    rest = [(piece, start, length) for length, piece, start in reversed(pool)]
     return full, [rest] if rest else []
 
 

@@ -49,7 +49,7 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     for _ in range(8):
         shift *= np.where(x < 9, x, 1.0)
         x = np.where(x < 9, x + 1, x)
-    series = 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5)
+    series = 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - 1 / (1680 * x**7) + 1 / (1188 * x**9)
     return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + series - np.log(shift)
 
 

@@ -10,6 +10,7 @@ group of their own, so ``word,`` needs no more than ``word`` and ``,``.
 from __future__ import annotations
 
 import os
+import unicodedata
 
 import numpy as np
 
@@ -29,6 +30,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def letters_only(word: bytes) -> bool:
+    """Whether a chunk is letters, also after the tokenizer has normalised it."""
+    return word.isalpha() or unicodedata.normalize("NFC", word.decode()).lower().isalpha()
+
+
 class ChunkEncoder:
     """Encodes texts to bytes: little-endian unsigned 32-bit ids."""
 
@@ -70,13 +76,13 @@ class ChunkEncoder:
         found, plain, letters, rest, split = {}, [], [], [], []
         for chunk in chunks:
             word = chunk.rstrip(TAIL)
-            if word != chunk and word:
+            if word != chunk and letters_only(word):  # other signs would form one group with the marks
                 split.append((chunk, word))
         parts = {w for _, w in split} | {c[len(w) :] for c, w in split}
         for word in parts.union(chunks.difference(c for c, _ in split)).difference(self.known):
             if self.suffix and word.isalpha():  # of bytes: ASCII letters
                 plain.append(word)
-            elif self.suffix and word.decode().isalpha():
+            elif self.suffix and letters_only(word):
                 letters.append(word)
             else:
                 rest.append(word)
