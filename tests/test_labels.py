@@ -64,9 +64,50 @@ def test_subsystem_may_be_given_as_text(build):
     assert labels(build, (at(11), "XY-ABC"), subsystem="3453") == [1]
 
 
-def test_dedupe_and_interval_exclude_each_other(build):
-    with pytest.raises(ValueError):
-        labels(build, dedupe=True, by_interval=True)
+@pytest.mark.parametrize("by_interval", [False, True])
+def test_dedupe_keeps_one_row_either_way(build, by_interval):
+    events = (at(11), "XY-ABC"), (at(12), "XY-ABC"), (at(12, 13), "XY-ABC")
+    assert labels(build, *events, dedupe=True, by_interval=by_interval) == [1]
+    assert labels(build, dedupe=True, by_interval=by_interval) == [0]
+
+
+def test_repeated_utilization_is_not_one_task(spark, no_broadcast):
+    """Nine tenths of all utilization rows on one asset-day: adaptive execution can split them."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = F.col("id")
+        tenth = F.date_add(F.lit(day(9)), (n >= 0).cast("int"))  # not a constant to the optimiser
+        asset = F.when(n % 10 != 0, F.lit(1)).otherwise(n % 500).cast("string")
+        used = spark.range(200_000).select(
+            F.lit(day(10)).alias("timeid"),
+            asset.alias("aircraftid"),
+            (n * 1.0).alias("flighthours"),
+            F.lit(0.0).alias("delayedminutes"),
+            n.alias("flightcycles"),
+        )
+        readings = spark.range(500).select(
+            tenth.cast("timestamp").alias("date"), F.lit("s").alias("series"), F.lit(1.0).alias("value"), n.cast("string").alias("aircraftid")
+        )
+        events = spark.range(500).select(
+            F.lit("3453").alias("subsystem"),
+            n.cast("string").alias("aircraftregistration"),
+            F.lit(at(11)).alias("starttime"),
+            F.lit("Delay").alias("kind"),
+        )
+        found = build_matrix(readings, used, events).select("*", F.spark_partition_id().alias("task"))
+        sizes = Counter(found.toArrow().column("task").to_pylist())
+        assert sum(sizes.values()) == 200_000 and max(sizes.values()) < 60_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 @pytest.mark.parametrize("label", BOTH)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from conftest import at, day, formatted, rows
 from upkeep import schemas
 from upkeep.functions.columns import rounded, verdict
-from upkeep.functions.keys import as_date, asset_from_name, asset_from_path, key_bucket, request_date
+from upkeep.functions.keys import as_date, asset_from_path, key_bucket, request_date
 from upkeep.operators.daily import daily_means
 from upkeep.operators.validity import feature_validity, require_trainable
 from upkeep.plans.matrix import build_features, build_matrix, unmatched_requests
@@ -158,16 +158,29 @@ def test_rounded_keeps_order_and_other_columns(spark):
 def test_verdict(spark):
     frame = spark.createDataFrame([(0.0,), (1.0,)], "p double").select(verdict(F.col("p")))
     assert [r[0].split()[0] for r in frame.collect()] == ["No", "Unscheduled"]
+    other = spark.createDataFrame([(0.0,), (1.0,), (None,)], "p double").select(verdict(F.col("p"), 90))
+    assert [r[0] and r[0].split("next ")[1] for r in other.collect()] == ["90 days", "90 days", None]
 
 
 @pytest.mark.parametrize(
     "name, asset",
-    [("010124-AAA-BBB-0001-XY-ABC.csv", "XY-ABC"), ("ABCDEF.csv", "ABCDEF"), ("AB.csv", "AB"), ("a.csv.XY-DEF.csv", "XY-DEF")],
+    [
+        ("010124-AAA-BBB-0001-XY-ABC.csv", "XY-ABC"),
+        ("ABCDEF.csv", "ABCDEF"),
+        ("AB.csv", "AB"),
+        ("a.csv.XY-DEF.csv", "XY-DEF"),
+        ("010124-AAA-BBB-0001-XY-ABC.csv/part-0001.csv", "XY-ABC"),
+        ("2024/part-XY-ABC.csv", "XY-ABC"),
+    ],
 )
-def test_asset_from_path_and_name(spark, name, asset):
-    frame = spark.createDataFrame([(f"file:/in/x.csv/{name}", name)], "path string, name string")
-    found = frame.select(asset_from_path(F.col("path")), asset_from_name(F.col("name"))).first()
-    assert tuple(found) == (asset, asset)
+def test_asset_from_path(spark, name, asset):
+    frame = spark.createDataFrame([(f"file:/in/x.csv/{name}",)], "path string")
+    assert frame.select(asset_from_path(F.col("path"))).first()[0] == asset
+
+
+def test_long_asset_ids_stay_whole(spark):
+    frame = spark.createDataFrame([("file:/in/010124-AAA-BBB-0001-U-0000123456.csv",)], "path string")
+    assert frame.select(asset_from_path(F.col("path"), 10)).first()[0] == "0000123456"
 
 
 def test_key_bucket_ignores_type_and_spreads(spark):

@@ -7,14 +7,7 @@ from upkeep.registry.queries import all_queries
 from compare import rows_of
 from conftest import formatted
 
-ROWS_ONLY = {
-    "clf_decision_tree",
-    "clf_random_forest",
-    "clf_logistic",
-    "clf_gbt",
-    "clf_linear_svc",
-    "leaderboard",
-}
+ROWS_ONLY = {"leaderboard"}
 
 
 def test_entry_gives_the_labelled_matrix(spark):

@@ -5,10 +5,10 @@ from conftest import day, rows
 from upkeep import schemas
 from upkeep.defaults import FEATURES, GRIDS, KEYS, SMALL_GRIDS
 from upkeep.learning.catalogue import candidates, f1_evaluator, stages
-from upkeep.learning.search import compact, grid_scores, model_name, search
+from upkeep.learning.search import assembled, grid_scores, model_name, search, vectors
 from upkeep.operators.bayes import naive_bayes_parameters
-from upkeep.operators.metrics import best, confusion_counts, rank, weighted_f1
-from upkeep.operators.splits import split_keys, split_rows, with_key_fold
+from upkeep.operators.metrics import best, confusion_counts, preview, rank, weighted_f1
+from upkeep.operators.splits import split_keys, split_rows, with_key_fold, with_row_fold
 from upkeep.plans.chain import (
     run_all,
     score_requests,
@@ -18,13 +18,13 @@ from upkeep.plans.chain import (
     train_stored,
 )
 from upkeep.plans.matrix import build_features
-from upkeep.plans.scoring import score
+from upkeep.plans.scoring import score, unscorable
 from upkeep.plans.training import train_and_rank
 from upkeep.registry import standins
 from upkeep.registry.queries import _features, _matrix
 from upkeep.schemas import MODEL_SCORES
 from upkeep.sources.models import load_model, read_runs, save_model
-from upkeep.streaming.scoring import arriving_features, score_stream
+from upkeep.streaming.scoring import arriving_features, reject_stream, score_stream
 from upkeep.workspace import stabilise
 
 
@@ -93,7 +93,9 @@ class TestMetrics:
 
     def test_rank(self, spark):
         assert [r.Model for r in rank(self.scores(spark, 0.3, 0.5, 0.5)).collect()] == ["m1", "m2", "m0"]
-        assert rank(self.scores(spark, *[0.1] * 30)).count() == 20
+        many = self.scores(spark, *[0.1] * 30)
+        assert rank(many).count() == 30
+        assert [r.Model for r in preview(many, 3).collect()] == ["m0", "m1", "m2"]
 
 
 @pytest.mark.parametrize("smoothing", [0.0, 1.0, 2.0])
@@ -124,11 +126,16 @@ class TestSplits:
         assert {r.fold for r in folded.select("fold").distinct().collect()} == {0, 1, 2}
         assert folded.groupBy(*KEYS).agg(F.countDistinct("fold").alias("n")).where("n > 1").count() == 0
 
-    def test_small_data_is_compacted_and_large_is_not(self, spark):
-        frame = spark.range(100).repartition(6)
-        assert compact(frame, 100).rdd.getNumPartitions() == 1
-        assert compact(frame, 300, rows_per_partition=100).rdd.getNumPartitions() == 3
-        assert compact(frame, 10_000, rows_per_partition=100).rdd.getNumPartitions() == 6
+    @pytest.mark.parametrize("partitions", [1, 3, 6])
+    def test_rows_and_folds_do_not_depend_on_partitions(self, matrix, partitions):
+        moved = matrix.repartition(partitions)
+        assert rows(split_rows(moved)[0]) == rows(split_rows(matrix)[0])
+        assert rows(with_row_fold(moved, 3)) == rows(with_row_fold(matrix, 3))
+
+    def test_copies_are_drawn_one_by_one(self, spark):
+        frame = spark.range(1).select(F.lit(1.5).alias("x"), F.explode(F.sequence(F.lit(1), F.lit(1000))).alias("y"))
+        train, validation = split_rows(frame.select("x"))
+        assert train.count() + validation.count() == 1000 and 650 < train.count() < 750
 
 
 class TestTraining:
@@ -160,6 +167,21 @@ class TestTraining:
             r.mean_f1 for r in second.grid_scores.collect()
         ]
 
+    @pytest.mark.parametrize("partitions", [1, 3, 6])
+    def test_forests_do_not_depend_on_partitions(self, matrix, partitions):
+        (forest,) = candidates(SMALL_GRIDS, ["Random Forest"])
+        fits = [
+            forest.estimator.fit(vectors(m), forest.param_maps()[0]) for m in (matrix, matrix.repartition(partitions))
+        ]
+        assert fits[0].toDebugString.split("\n")[1:] == fits[1].toDebugString.split("\n")[1:]
+
+    def test_a_training_leaves_models_and_runs_only(self, spark, tables, tmp_path, monkeypatch):
+        monkeypatch.setattr("upkeep.workspace.shared_root", lambda spark: str(tmp_path / "shared"))
+        fresh = _matrix(standins.events(spark, tables))
+        train_and_rank(fresh, [bayes()], models_path=str(tmp_path / "m"), runs_path=str(tmp_path / "r"))
+        assert not list((tmp_path / "shared").rglob("*.parquet"))
+        assert sorted(p.name for p in (tmp_path / "m").iterdir()) == ["Naive Bayes", "best_model"]
+
     def test_bad_feature_is_named(self, spark, matrix):
         broken = matrix.withColumn("flighthours", F.when(F.col("label") == 0, F.col("flighthours")))
         with pytest.raises(ValueError, match="flighthours"):
@@ -167,11 +189,11 @@ class TestTraining:
 
     def test_a_fold_without_rows_is_an_error(self, matrix):
         with pytest.raises(ValueError, match="empty"):
-            search(bayes(), matrix.withColumn("fold", F.lit(0)), fold_column="fold")
+            search(bayes(), vectors(matrix.withColumn("fold", F.lit(0)), FEATURES, "label", "fold"))
 
     def test_search_keeps_every_grid_point(self, spark, matrix):
         (candidate,) = candidates(names=["Naive Bayes"])
-        found = search(candidate, matrix)
+        found = search(candidate, vectors(with_row_fold(matrix, 3), FEATURES, "label", "fold"))
         scores = grid_scores(spark, [(candidate, found)]).collect()
         assert [r.params for r in scores] == [{"smoothing": s} for s in ("0.0", "1.0", "2.0")]
         assert all(0 < r.mean_f1 <= 1 for r in scores)
@@ -189,6 +211,35 @@ class TestScoring:
             assert row.model_name == "NaiveBayes"
             assert row.verdict.startswith("No ") == (row.prediction == 0)
 
+    def broken(self, matrix):
+        return matrix.withColumns(
+            {
+                "flighthours": F.when(F.col("aircraftid") % 3 != 0, F.col("flighthours")),
+                "delayedminutes": F.when(F.col("aircraftid") % 2 == 0, F.lit(-1.0)).otherwise(F.col("delayedminutes")),
+            }
+        )
+
+    def test_bad_rows_are_named_and_the_rest_scored(self, matrix, model):
+        bad = unscorable(self.broken(matrix), model)
+        assert {r.problem for r in bad.collect()} == {"column flighthours is null", "column delayedminutes is negative"}
+        good = score(self.broken(matrix), model)
+        assert good.count() + bad.count() == matrix.count()
+        assert good.where("aircraftid % 3 = 0 or aircraftid % 2 = 0").count() == 0
+
+    def test_stream_survives_bad_rows(self, spark, matrix, model, tmp_path):
+        landing, sink, rejects = (str(tmp_path / n) for n in ("landing", "sink", "rejects"))
+        self.broken(matrix).drop("label").write.parquet(landing)
+        schema = schemas.matrix(matrix.schema["aircraftid"].dataType, labelled=False)
+        score_stream(arriving_features(spark, landing, schema), model, sink, str(tmp_path / "a")).awaitTermination()
+        reject_stream(arriving_features(spark, landing, schema), model, rejects, str(tmp_path / "b")).awaitTermination()
+        assert rows(spark.read.parquet(rejects)) == rows(unscorable(self.broken(matrix), model))
+        assert spark.read.parquet(sink).count() + spark.read.parquet(rejects).count() == matrix.count()
+
+    def test_saved_model_holds_assembler_and_classifier(self, matrix, tmp_path):
+        fitted = bayes().estimator.fit(vectors(matrix))
+        path = save_model(assembled(fitted), str(tmp_path / "model"))
+        assert [type(s).__name__ for s in load_model(path).stages] == ["VectorAssembler", "NaiveBayesModel"]
+
     def test_requests_without_features_give_no_rows(self, spark, build, model, tmp_path):
         path = save_model(model, str(tmp_path / "model"))
         asked = spark.createDataFrame([("XY-ABC", day(1))], "aircraftid string, date date")

@@ -32,16 +32,19 @@ GRIDS = {
     "Naive Bayes": {"smoothing": [0.0, 1.0, 2.0]},
 }
 
-# One point per model, for smoke runs and tests.
+# One point of each grid, for short searches.
 SMALL_GRIDS = {
     "Decision Tree": {"maxDepth": [5], "maxBins": [20]},
     "Random Forest": {"numTrees": [10], "maxDepth": [5]},
     "Logistic Regression": {"maxIter": [10], "regParam": [0.01]},
-    "Gradient-Boosted Trees": {"maxIter": [5], "maxDepth": [3]},
-    "Linear SVC": {"maxIter": [5], "regParam": [0.01]},
+    "Gradient-Boosted Trees": {"maxIter": [10], "maxDepth": [3]},
+    "Linear SVC": {"maxIter": [10], "regParam": [0.01]},
     "Naive Bayes": {"smoothing": [1.0]},
 }
 
 # Verdict texts.
-VERDICT_CLEAR = "No maintenance predicted for the next 7 days"
-VERDICT_DUE = "Unscheduled maintenance predicted in the next 7 days"
+VERDICT_CLEAR = "No maintenance predicted for the next {days} days"
+VERDICT_DUE = "Unscheduled maintenance predicted in the next {days} days"
+
+# Name under which a training is recorded.
+RUN_NAME = "Model Training Run"

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from upkeep.defaults import SCALE, VERDICT_CLEAR, VERDICT_DUE
+from upkeep.defaults import HORIZON_DAYS, SCALE, VERDICT_CLEAR, VERDICT_DUE
 
 
 def rounded(df: DataFrame, columns: Collection[str], scale: int = SCALE) -> DataFrame:
@@ -38,5 +38,7 @@ def within_horizon(start: Column, day: Column, horizon: int) -> Column:
     return lead_days(start, day).between(0, horizon - 1)
 
 
-def verdict(prediction: Column) -> Column:
-    return F.when(prediction == 0, F.lit(VERDICT_CLEAR)).otherwise(F.lit(VERDICT_DUE))
+def verdict(prediction: Column, horizon: int = HORIZON_DAYS) -> Column:
+    """The prediction in words, for the horizon that the model was trained on; null stays null."""
+    clear, due = (F.lit(text.format(days=horizon)) for text in (VERDICT_CLEAR, VERDICT_DUE))
+    return F.when(prediction == 0, clear).when(prediction != 0, due)

@@ -7,20 +7,20 @@ from datetime import date, datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Base name and suffix of a CSV file, and the length of the asset id between them.
-BASE_NAME = r"/([^/]*)\.csv$"
+# Suffix of a CSV file, and the length of the asset id before it.
 SUFFIX = ".csv"
 ASSET_ID_LENGTH = 6
 
 
-def asset_from_path(path: Column) -> Column:
-    """Last characters of the base name, e.g. ``XY-ABC`` of ``.../010124-AAA-BBB-0001-XY-ABC.csv``."""
-    return F.right(F.regexp_extract(path, BASE_NAME, 1), F.lit(ASSET_ID_LENGTH))
+def asset_from_path(path: Column, length: int = ASSET_ID_LENGTH) -> Column:
+    """Last characters of the base name, e.g. ``XY-ABC`` of ``.../010124-AAA-BBB-0001-XY-ABC.csv``.
 
-
-def asset_from_name(name: Column) -> Column:
-    """The same from a file name known to end in ``.csv``, without a regular expression per row."""
-    return F.substring(name, -(ASSET_ID_LENGTH + len(SUFFIX)), ASSET_ID_LENGTH)
+    A file may also be a folder of parts, as Spark writes it: ``...-XY-ABC.csv/part-0.csv``. No
+    regular expression runs per row.
+    """
+    name, folder = F.substring_index(path, "/", -1), F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    base = F.when(name.startswith("part-") & folder.endswith(SUFFIX), folder).otherwise(name)
+    return F.substring(base, -(length + len(SUFFIX)), length)
 
 
 def as_date(value: str | date | datetime) -> date:

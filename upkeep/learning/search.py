@@ -4,49 +4,66 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from upkeep.defaults import FEATURES, FOLDS, LABEL, SEED
-from upkeep.learning.catalogue import Candidate, f1_evaluator, stages
+from upkeep.learning.catalogue import Candidate, assembler, f1_evaluator
 from upkeep.schemas import GRID_SCORES
 
-# Rows per partition of a cached training frame. Every iteration of a solver is a job over all
-# partitions, so small data in many partitions costs scheduling and nothing else.
-ROWS_PER_PARTITION = 250_000
+# Partitions of a training frame. Every iteration of a solver is a job over all of them: raise
+# the number with the data, and count it among the settings that a model depends on.
+PARTITIONS = 8
 
 
-def compact(df: DataFrame, rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> DataFrame:
-    """Merge partitions down to what ``rows`` need. Coalescing never adds any, so large data stays spread."""
-    return df.coalesce(max(-(-rows // rows_per_partition), 1))
+def vectors(
+    df: DataFrame,
+    features: Sequence[str] = FEATURES,
+    label: str = LABEL,
+    *extra: str,
+    partitions: int = PARTITIONS,
+) -> DataFrame:
+    """Feature vector, label and ``extra`` columns, laid out by the rows' values alone.
+
+    Solvers that draw or add up rows depend on the layout. Here it follows from the rows and
+    ``partitions``, not from files, cores or session settings.
+    """
+    columns = [*features, label, *extra]
+    rows = df.select(*columns).repartition(partitions, F.xxhash64(*columns)).sortWithinPartitions(*columns)
+    return assembler(features).transform(rows).select("features", label, *extra)
+
+
+def assembled(model: Model, features: Sequence[str] = FEATURES) -> PipelineModel:
+    """A fitted classifier behind its vector assembly, so that it takes plain feature rows."""
+    return PipelineModel(stages=[assembler(features), model])
 
 
 def search(
     candidate: Candidate,
     train: DataFrame,
     *,
-    features: Sequence[str] = FEATURES,
     label: str = LABEL,
     folds: int = FOLDS,
     seed: int = SEED,
     parallelism: int = 4,
-    fold_column: str | None = None,
+    fold_column: str = "fold",
 ) -> CrossValidatorModel:
     """Try every grid point on ``folds`` folds and refit the best on all of ``train``.
 
-    Folds are drawn by row, or read from ``fold_column``, where copies of a key must share one.
+    ``train`` holds vectors, see ``vectors``: they are assembled once, not in each fit. Folds are
+    read from ``fold_column``.
     """
     validator = CrossValidator(
-        estimator=stages(candidate, features),
+        estimator=candidate.estimator,
         estimatorParamMaps=candidate.param_maps(),
         evaluator=f1_evaluator(label),
         numFolds=folds,
         seed=seed,
         parallelism=parallelism,
+        foldCol=fold_column,
     )
-    if fold_column is not None:
-        validator = validator.setFoldCol(fold_column)
     return validator.fit(train)
 
 

@@ -26,15 +26,22 @@ def daily_means(readings: DataFrame) -> DataFrame:
     return daily_readings(readings).groupBy(*JOIN_KEYS).agg(F.mean("value").alias("sensor_mean_value"))
 
 
-def join_utilization(means: DataFrame, utilization: DataFrame) -> DataFrame:
+def join_utilization(means: DataFrame, utilization: DataFrame, *extra: str, apart: bool = False) -> DataFrame:
     """Inner join on day and asset; asset-days missing on either side drop out.
 
     The means already lie partitioned by the join keys, so only utilization is shuffled here.
+    Where they come out of another join, adaptive execution cannot split a key that utilization
+    repeats; ``apart`` adds the day's number to the keys, so that both sides are shuffled for this
+    join alone and it can. ``extra`` columns of the means are kept.
     """
     used = utilization.select(
         F.col("timeid").alias("date"), "aircraftid", "flighthours", "delayedminutes", "flightcycles"
     )
-    return means.join(used, list(JOIN_KEYS), "inner").select(*KEYS, *FEATURES)
+    keys = list(JOIN_KEYS)
+    if apart:
+        number = F.unix_date(F.to_date("date"))
+        means, used, keys = means.withColumn("day", number), used.withColumn("day", number), [*keys, "day"]
+    return means.join(used, keys, "inner").select(*KEYS, *FEATURES, *extra)
 
 
 def keep_keys(df: DataFrame, keys: DataFrame) -> DataFrame:

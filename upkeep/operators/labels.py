@@ -7,7 +7,7 @@ before they shuffle, join on a key finer than the asset, and repeat rows afterwa
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,7 +85,8 @@ def interval_join(
         & (F.col("bucket") == F.col("start_bucket"))
         & within_horizon(F.col("starttime"), F.col("date"), horizon)
     )
-    return bucketed.join(entered, condition, how).select(*rows.columns, "starttime", "matches")
+    kept = [] if how in ("left_semi", "left_anti") else ["starttime", "matches"]
+    return bucketed.join(entered, condition, how).select(*rows.columns, *kept)
 
 
 def lead_day_counts(
@@ -131,13 +132,21 @@ def label_by_interval(
     interruptions: DataFrame,
     *,
     horizon: int = HORIZON_DAYS,
+    dedupe: bool = False,
     block: int = BLOCK,
 ) -> DataFrame:
     """Label rows through the interval join; suits horizons too long to write out day by day.
 
-    Start days with more matches than a block go a second way, see ``label_by_day``.
+    Start days with more matches than a block go a second way, see ``label_by_day``. With
+    ``dedupe`` a row stays one row however many interruptions match.
     """
     starts = counts_by_start(interruptions)
+    if dedupe:
+        parts = (("left_semi", 1), ("left_anti", 0))
+        due, clear = (
+            interval_join(rows, starts, horizon, how).withColumn(LABEL, F.lit(label)) for how, label in parts
+        )
+        return due.unionByName(clear)
     heavy = starts.where(F.col("matches") > block).hint("rebalance")
     columns = [*rows.columns, "starttime"]
     first = _first_block(interval_join(rows, starts, horizon), columns, block)
@@ -152,9 +161,14 @@ def label_by_day(
     horizon: int = HORIZON_DAYS,
     dedupe: bool = False,
     block: int = BLOCK,
+    complete: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Label rows through an equality join on asset and day.
 
+    ``complete`` adds columns to the rows after the join and has to keep their ``matches``. A join
+    that repeats a key belongs there: before it, both sides of the label join hold one row per
+    key, so that no key is one task's burden.
+
     Interruptions are written out to the days of their window and counted there. The rows already
     lie partitioned by asset and day, so only these counts are shuffled. With ``dedupe`` a row
     stays one row however many interruptions match.
@@ -164,10 +178,12 @@ def label_by_day(
     the whole branch where there are none.
     """
     matches = counts_by_day(interruptions, horizon)
-    joined = rows.join(matches, list(JOIN_KEYS), "left")
+    complete = complete or (lambda df: df)
+    joined = complete(rows.join(matches, list(JOIN_KEYS), "left"))
+    columns = [c for c in joined.columns if c != "matches"]
     if dedupe:
-        return joined.select(*rows.columns, _label())
+        return joined.select(*columns, _label())
     heavy = matches.where(F.col("matches") > block).hint("rebalance")
-    first = _first_block(joined, rows.columns, block)
-    further = _further_blocks(rows.join(heavy, list(JOIN_KEYS), "inner"), rows.columns, block)
-    return first.unionByName(further).select(*rows.columns, LABEL)
+    first = _first_block(joined, columns, block)
+    further = _further_blocks(complete(rows.join(heavy, list(JOIN_KEYS), "inner")), columns, block)
+    return first.unionByName(further).select(*columns, LABEL)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PREVIEW_ROWS = 20  # fixed value: rows shown of a leaderboard
-
 
 def confusion_counts(
     predictions: DataFrame, *by: str, label: str = "label", prediction: str = "prediction"
@@ -54,9 +52,14 @@ def weighted_f1(confusion: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def rank(scores: DataFrame, limit: int = PREVIEW_ROWS) -> DataFrame:
-    """Scores, best first; equal scores keep catalogue order."""
-    return scores.orderBy(F.desc("F1-Score"), "ordinal").limit(limit)
+def rank(scores: DataFrame) -> DataFrame:
+    """All scores, best first; equal scores keep catalogue order."""
+    return scores.orderBy(F.desc("F1-Score"), "ordinal")
+
+
+def preview(scores: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` scores of the ranking, to be shown."""
+    return rank(scores).limit(limit)
 
 
 def best(scores: DataFrame) -> DataFrame:

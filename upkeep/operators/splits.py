@@ -1,22 +1,58 @@
-"""Train and validation splits."""
+"""Train and validation splits, and folds. None depends on how rows lie in partitions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from upkeep.defaults import KEYS, SEED, SPLIT
 from upkeep.functions.keys import key_bucket
 
+# Buckets of a row split: shares are exact to one in so many.
+BUCKETS = 10_000
+
+
+def numbered_rows(df: DataFrame, column: str = "copy") -> DataFrame:
+    """Rows with a running number among equal ones.
+
+    Equal rows are counted before they are shuffled and repeated afterwards, so that a row with
+    very many copies is one row on its way.
+    """
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(column))
+    return counted.withColumn(column, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(column))))
+
+
+def _text(df: DataFrame, column: str) -> Column:
+    """The value as text that every engine writes alike: fractions with six decimals."""
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        return F.col(column).try_cast("decimal(38,6)").cast("string")
+    return F.col(column).cast("string")
+
+
+def row_bucket(df: DataFrame, buckets: int, salt: str, copy: str = "copy") -> Column:
+    """Bucket of a row: hashed from all its values and its number among equal rows."""
+    columns = [*[c for c in df.columns if c != copy], copy]
+    texts = [F.coalesce(_text(df, c), F.lit("")) for c in columns]
+    head = F.md5(F.concat_ws("|", F.lit(salt), *texts).cast("binary"))
+    return (F.conv(F.substring(head, 1, 8), 16, 10).cast("bigint") % F.lit(buckets)).cast("int")
+
 
 def split_rows(
     df: DataFrame, weights: Sequence[float] = SPLIT, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """Seeded random split by row. ``df`` must read the same on every run: see ``stabilise``."""
-    train, validation = df.randomSplit(list(weights), seed)
-    return train, validation
+    """Seeded split by row: equal rows are drawn one by one, and each draw depends on the row alone."""
+    rows = numbered_rows(df)
+    in_train = row_bucket(rows, BUCKETS, f"rows-{seed}") < F.lit(round(BUCKETS * weights[0] / sum(weights)))
+    return rows.where(in_train).drop("copy"), rows.where(~in_train).drop("copy")
+
+
+def with_row_fold(df: DataFrame, folds: int, seed: int = SEED, column: str = "fold") -> DataFrame:
+    """Add a cross-validation fold by row."""
+    rows = numbered_rows(df)
+    return rows.withColumn(column, row_bucket(rows, folds, f"fold-{seed}")).drop("copy")
 
 
 def split_keys(

@@ -87,10 +87,14 @@ def build_matrix(
 
     ``by_interval`` joins on the interval and not day by day, for long horizons.
     """
-    if dedupe and by_interval:
-        raise ValueError("dedupe labels by day; leave out by_interval")
-    features = build_features(readings, utilization, scale=scale)
     events = qualifying(interruptions, subsystem, kinds)
     if by_interval:
-        return label_by_interval(features, events, horizon=horizon)
-    return label_by_day(features, events, horizon=horizon, dedupe=dedupe)
+        features = build_features(readings, utilization, scale=scale)
+        return label_by_interval(features, events, horizon=horizon, dedupe=dedupe)
+
+    def with_utilization(labelled: DataFrame) -> DataFrame:
+        return rounded(join_utilization(labelled, utilization, "matches", apart=True), FEATURES, scale)
+
+    return label_by_day(
+        daily_means(readings), events, horizon=horizon, dedupe=dedupe, complete=with_utilization
+    )

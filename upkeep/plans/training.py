@@ -12,15 +12,15 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 
-from upkeep.defaults import FEATURES, FOLDS, LABEL, SEED
+from upkeep.defaults import FEATURES, FOLDS, LABEL, RUN_NAME, SEED
 from upkeep.learning.catalogue import Candidate, candidates, f1_evaluator
-from upkeep.learning.search import as_text, compact, grid_scores, search
+from upkeep.learning.search import PARTITIONS, as_text, assembled, grid_scores, search, vectors
 from upkeep.operators.metrics import best, rank
-from upkeep.operators.splits import split_keys, split_rows, with_key_fold
+from upkeep.operators.splits import split_keys, split_rows, with_key_fold, with_row_fold
 from upkeep.operators.validity import require_trainable
 from upkeep.schemas import MODEL_SCORES
 from upkeep.sources.models import append_runs, save_model
-from upkeep.workspace import stabilise
+from upkeep.workspace import discard, stabilise
 
 
 @dataclass(frozen=True)
@@ -54,15 +54,16 @@ def train_and_rank(
     stored: bool = False,
     models_path: str | None = None,
     runs_path: str | None = None,
-    run_name: str = "Model Training Run",
+    run_name: str = RUN_NAME,
+    partitions: int = PARTITIONS,
 ) -> Ranking:
     """Train and rank ``catalogue`` (all six classifiers on their full grids by default).
 
     ``by_key`` splits rows and folds by asset-day, so that copies of a row never lie on both
     sides. ``concurrent`` classifiers are searched at once, and ``parallelism`` grid points of
-    each; every search caches its folds, so raise them as memory allows. ``stored`` says that
-    ``matrix`` is read straight from files; any other matrix is written to reliable storage
-    first, because a seeded split needs rows that stay in place.
+    each; every search caches its folds, so raise them as memory allows. ``partitions`` is how
+    many the rows are trained in. ``stored`` says that ``matrix`` is read straight from files; any
+    other matrix is computed once, into shared storage, and removed after the training.
 
     With ``models_path`` every model is saved under its name, and the best as ``best_model``.
     """
@@ -71,32 +72,24 @@ def train_and_rank(
     needs_non_negative = any(c.name == "Naive Bayes" for c in catalogue)
 
     matrix = matrix if stored else stabilise(matrix)
-    rows = require_trainable(matrix, features, LABEL, needs_non_negative)
+    require_trainable(matrix, features, LABEL, needs_non_negative)
 
     if by_key:
         train, validation = split_keys(with_key_fold(matrix, folds))
     else:
         train, validation = split_rows(matrix, seed=seed)
-    fold_column = "fold" if by_key else None
-    used = [*features, LABEL, *([fold_column] if fold_column else [])]
-    train = compact(train.select(*used), rows).persist(StorageLevel.MEMORY_AND_DISK)
-    validation = compact(validation.select(*used), rows).persist(StorageLevel.MEMORY_AND_DISK)
+        train = with_row_fold(train, folds, seed)
+    train = vectors(train, features, LABEL, "fold", partitions=partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    validation = vectors(validation, features, LABEL, partitions=partitions).persist(StorageLevel.MEMORY_AND_DISK)
 
     evaluator = f1_evaluator()
 
-    def try_candidate(candidate: Candidate) -> tuple[CrossValidatorModel, float, str | None]:
-        searched = search(
-            candidate,
-            train,
-            features=features,
-            folds=folds,
-            seed=seed,
-            parallelism=parallelism,
-            fold_column=fold_column,
-        )
+    def try_candidate(candidate: Candidate) -> tuple[CrossValidatorModel, PipelineModel, float, str | None]:
+        searched = search(candidate, train, folds=folds, seed=seed, parallelism=parallelism)
         f1 = evaluator.evaluate(searched.bestModel.transform(validation))
+        model = assembled(searched.bestModel, features)
         path = f"{models_path}/{candidate.name}" if models_path else None
-        return searched, f1, save_model(searched.bestModel, path) if path else None
+        return searched, model, f1, save_model(model, path) if path else None
 
     try:
         with ThreadPool(max(min(concurrent, len(catalogue)), 1)) as pool:
@@ -104,14 +97,16 @@ def train_and_rank(
     finally:
         train.unpersist()
         validation.unpersist()
+        if not stored:
+            discard(matrix)
 
     found, models, scores, runs = [], {}, [], []
     run_id = uuid.uuid4().hex
-    for ordinal, (candidate, (searched, f1, path)) in enumerate(zip(catalogue, tried)):
+    for ordinal, (candidate, (searched, model, f1, path)) in enumerate(zip(catalogue, tried)):
         found.append((candidate, searched))
-        models[candidate.name] = searched.bestModel
+        models[candidate.name] = model
         scores.append((ordinal, candidate.name, f1))
-        params = as_text(searched.bestModel.stages[-1].extractParamMap())
+        params = as_text(searched.bestModel.extractParamMap())
         runs.append((run_id, run_name, candidate.name, params, "F1-Score", f1, path))
 
     score_table = spark.createDataFrame(scores, MODEL_SCORES)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from upkeep.defaults import FEATURES, VERDICT_CLEAR, VERDICT_DUE
+from upkeep.defaults import FEATURES, HORIZON_DAYS, SEED, SMALL_GRIDS
+from upkeep.defaults import VERDICT_CLEAR as CLEAR
+from upkeep.defaults import VERDICT_DUE as DUE
+
+VERDICT_CLEAR, VERDICT_DUE = (text.format(days=HORIZON_DAYS) for text in (CLEAR, DUE))
 
 
 def _round(expression: str, scale: int) -> str:
@@ -171,6 +175,24 @@ def _numbered(source: str, name: str, where: str = "true") -> str:
 """
 
 
+#: Rows with their number among equal ones, and a bucket of all values and that number.
+_COPIES = """
+copies as (
+  select *, row_number() over (partition by date, aircraftid, sensor_mean_value, flighthours,
+         delayedminutes, flightcycles, label) as copy from matrix),
+"""
+
+
+def _row_bucket(salt: str, buckets: int) -> str:
+    fractions = ", ".join(f"cast(cast({c} as decimal(38,6)) as varchar)" for c in FEATURES[:3])
+    text = (
+        f"concat_ws('|', '{salt}', cast(date as varchar), cast(aircraftid as varchar), {fractions}, "
+        "cast(flightcycles as varchar), cast(label as varchar), cast(copy as varchar))"
+    )
+    return f"cast(cast('0x' || substr(md5({text}), 1, 8) as bigint) % {buckets} as integer)"
+
+
+_MODELS = ", ".join(f"('{name}')" for name in SMALL_GRIDS)
 _IN_TRAIN = f"{_bucket('split', 100)} < 70"
 _TRAIN = f"""
 train as (select * from matrix where {_IN_TRAIN}),
@@ -242,9 +264,10 @@ from matrix"""
         "csv_scan_roundtrip": daily,
         "drop_project": _with(*_MATRIX, select=f"select {_COLUMNS}, label from matrix"),
         "filter_interruptions": _with(QUALIFYING, select="select * from qualifying"),
-        "key_from_path": r"""select event_id, right(regexp_extract(
-            'file:/in/010124-AAA-BBB-0001-U-' || lpad(cast(user_id as varchar), 4, '0') || '.csv',
-            '/([^/]*)\.csv$', 1), 6) as aircraftid from events""",
+        "key_from_path": _with(
+            READINGS,
+            select="select lpad(cast(aircraftid as varchar), 20, '0') as aircraftid, count(*) as n from readings group by 1",
+        ),
         "round_columns": _with(
             UTILIZATION,
             select=f"""select timeid, aircraftid, {_round('flighthours', 2)} as flighthours,
@@ -269,6 +292,7 @@ from matrix"""
         "forward_label_matrix_expanded": matrix,
         "supplier_label_matrix": _supplier_matrix(7),
         "supplier_label_matrix_interval": _supplier_matrix(90),
+        "supplier_label_matrix_interval_dedup": f"select distinct * from ({_supplier_matrix(90)})",
         "dedup_label_matrix": _with(*_FEATURES, QUALIFYING, DEDUPED, select="select * from deduped"),
         "lead_days": _with(
             *_FEATURES,
@@ -298,6 +322,13 @@ from matrix"""
             case when cast(flightcycles > 3 as int) = 0 then '{VERDICT_CLEAR}' else '{VERDICT_DUE}' end as verdict
             from matrix""",
         ),
+        "verdict_horizon": _with(
+            *_FEATURES,
+            QUALIFYING,
+            DEDUPED.replace("between 0 and 6", "between 0 and 29"),
+            select=f"""select date, aircraftid, label, case when flightcycles <= 1 then null
+            when flightcycles > 3 then '{DUE.format(days=30)}' else '{CLEAR.format(days=30)}' end as verdict from deduped""",
+        ),
         "confusion_counts": _with(
             *_MATRIX,
             _rules("matrix", "rules"),
@@ -313,7 +344,8 @@ from matrix"""
             select=f"""select *, 'matrix' as source from scores
             union all select ordinal, Model, {_round('f1', 9)}, 'deduped' from once_f1""",
         ),
-        "rank_scores": _with(*_RANKED, select='select * from scores order by "F1-Score" desc, ordinal limit 20'),
+        "rank_scores": _with(*_RANKED, select='select * from scores order by "F1-Score" desc, ordinal'),
+        "preview_scores": _with(*_RANKED, select='select * from scores order by "F1-Score" desc, ordinal limit 2'),
         "best_model_rule": _with(
             *_RANKED,
             select='select * from scores where "F1-Score" > 0 order by "F1-Score" desc, ordinal limit 1',
@@ -325,7 +357,15 @@ from matrix"""
             + ", label from matrix",
         ),
         "random_split_counts": _with(
-            *_MATRIX, select="select date, aircraftid, label, count(*) as n from matrix group by 1, 2, 3"
+            *_MATRIX,
+            _COPIES,
+            select=f"""select case when {_row_bucket(f'rows-{SEED}', 10_000)} < 7000 then 'train' else 'validation' end
+            as part, label, count(*) as n from copies group by 1, 2""",
+        ),
+        "row_fold_counts": _with(
+            *_MATRIX,
+            _COPIES,
+            select=f"select {_row_bucket(f'fold-{SEED}', 3)} as fold, label, count(*) as n from copies group by 1, 2",
         ),
         "hash_split_counts": _with(
             *_MATRIX,
@@ -344,15 +384,60 @@ from matrix"""
             select="""select Model, cast(label as double) as label, cast(prediction as double) as prediction,
             count(*) as n from predicted group by 1, 2, 3""",
         ),
+        **{
+            key: _with(
+                *_MATRIX,
+                select=f"""select '{name}' as Model, label, count(*) filter ({_IN_TRAIN}) as train_rows,
+                count(*) filter (not ({_IN_TRAIN})) as validation_rows,
+                count(*) filter (not ({_IN_TRAIN})) as scored_rows, true as f1_equal from matrix group by label""",
+            )
+            for key, name in {
+                "clf_decision_tree": "Decision Tree",
+                "clf_random_forest": "Random Forest",
+                "clf_logistic": "Logistic Regression",
+                "clf_gbt": "Gradient-Boosted Trees",
+                "clf_linear_svc": "Linear SVC",
+            }.items()
+        },
         "cv_scores": _cv(),
+        "leaderboard_order": _with(
+            *validation_confusion,
+            _f1("predicted", "nb_f1", "Model"),
+            select=f"""select Model, {_round('f1', 9)} as known_score, true as in_order
+            from (values {_MODELS}) m(Model) left join nb_f1 using (Model)""",
+        ),
+        "score_bad_rows": _with(
+            *_FITTED,
+            """
+broken as (
+  select date, aircraftid, case when aircraftid % 7 <> 0 then sensor_mean_value end as sensor_mean_value,
+         case when aircraftid % 5 = 0 then -1.0 - flighthours else flighthours end as flighthours,
+         delayedminutes, flightcycles from features),
+judged as (
+  select *, case when sensor_mean_value is null then 'column sensor_mean_value is null'
+                 when flighthours < 0 then 'column flighthours is negative' end as problem from broken),
+""",
+            _numbered("judged", "rows", "problem is null"),
+            _bayes_predict("rows", "nb", "predicted", "date, aircraftid"),
+            select="""select date, aircraftid, problem, null::double as prediction from judged where problem is not null
+            union all select date, aircraftid, null, cast(prediction as double) from predicted""",
+        ),
+        "end_to_end_all": _with(
+            *_FEATURES,
+            REQUESTS,
+            select="""select f.*, true as scored, true as verdict_agrees
+            from features f join requests r on f.date = r.date and f.aircraftid = r.aircraftid""",
+        ),
         "score_batch": scored,
         "end_to_end": scored,
         "score_stream": _scored(_numbered("features", "rows")),
         "run_log": _with(
             *validation_confusion,
             _f1("predicted", "nb_f1", "Model"),
-            select=f"""select 'Model Training Run' as run_name, Model as model, '1.0' as smoothing,
-            'multinomial' as model_type, 'F1-Score' as metric, {_round('f1', 9)} as value,
-            true as model_kept from nb_f1""",
+            select=f"""select 'Model Training Run' as run_name, Model as model,
+            case when f1 is not null then '1.0' end as smoothing,
+            case when f1 is not null then 'multinomial' end as model_type, 'F1-Score' as metric,
+            {_round('f1', 9)} as value, true as model_kept
+            from (values {_MODELS}) m(Model) left join nb_f1 using (Model)""",
         ),
     }

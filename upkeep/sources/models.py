@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from py4j.protocol import Py4JJavaError
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from upkeep.schemas import RUNS
 from upkeep.sources.paths import require
+from upkeep.workspace import path_exists
 
 
 def save_model(model: PipelineModel, path: str) -> str:
@@ -18,12 +18,10 @@ def save_model(model: PipelineModel, path: str) -> str:
 
 
 def load_model(path: str) -> PipelineModel:
-    try:
-        return require(path, "training", lambda: PipelineModel.load(path))
-    except Py4JJavaError as error:
-        if "InvalidInputException" not in str(error.java_exception):
-            raise
-        raise FileNotFoundError(f"{path} does not exist: run training first") from error
+    spark = SparkSession.active()
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"{path} does not exist: run training first")
+    return PipelineModel.load(path)
 
 
 def append_runs(spark: SparkSession, path: str, runs: Iterable[tuple]) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.functions.keys import SUFFIX, asset_from_name
+from upkeep.functions.keys import ASSET_ID_LENGTH, SUFFIX, asset_from_path
 from upkeep.schemas import READING_FILE
 from upkeep.sources.paths import require
 
@@ -16,8 +16,12 @@ def read_readings(
     *,
     sep: str = ";",
     mode: str = "FAILFAST",
+    id_length: int = ASSET_ID_LENGTH,
+    recursive: bool = False,
 ) -> DataFrame:
-    """Scan all CSV files of ``folder``; add ``aircraftid`` from the file name.
+    """Scan all CSV files of ``folder``; add ``aircraftid``, the last ``id_length`` characters of the name.
+
+    ``recursive`` also reads the folders within, whatever their names.
 
     The folder is listed once and filtered by name, which scales to far more files than
     expanding a glob into one root path per file. Headers are checked against the schema.
@@ -29,6 +33,7 @@ def read_readings(
         .option("mode", mode)
         .option("enforceSchema", False)
         .option("pathGlobFilter", f"*{SUFFIX}")
+        .option("recursiveFileLookup", recursive)
     )
     files = require(folder, "the export of sensor readings", lambda: scan.csv(folder))
-    return files.select("*", asset_from_name(F.col("_metadata.file_name")).alias("aircraftid"))
+    return files.select("*", asset_from_path(F.col("_metadata.file_path"), id_length).alias("aircraftid"))

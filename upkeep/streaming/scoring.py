@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from upkeep.plans.scoring import score
+from upkeep.plans.scoring import score, unscorable
 
 
 def arriving_features(
@@ -31,13 +31,31 @@ def score_stream(
 ) -> StreamingQuery:
     """Append scored rows to ``sink``; every row once, also across restarts.
 
+    Rows that the model cannot take are left out here and do not end the query, see
+    ``reject_stream``.
+
     Scoring looks at one row at a time, so there is no state and no watermark. Without
     ``interval`` the query works off what has arrived and ends.
     """
+    return _append(score(features, model), sink, checkpoint, interval)
+
+
+def reject_stream(
+    features: DataFrame,
+    model: PipelineModel,
+    sink: str,
+    checkpoint: str,
+    *,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Append the rows that the model cannot take to ``sink``, each with the column at fault."""
+    return _append(unscorable(features, model), sink, checkpoint, interval)
+
+
+def _append(rows: DataFrame, sink: str, checkpoint: str, interval: str | None) -> StreamingQuery:
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
-        score(features, model)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("path", sink)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
