@@ -46,15 +46,6 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def removed(*frames: DataFrame) -> None:
-    """Delete the files of stored frames that nothing reads any more."""
-    for df in frames:
-        spark = df.sparkSession
-        for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(parent)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def word_array(text: Column) -> Column:
     """The words of ``text`` in order."""
     trimmed = F.btrim(text, F.lit(MARKS))

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.common import removed, stored
+from upkeep.llm.common import stored
+from upkeep.workspace import discard
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -37,5 +38,5 @@ def components(links: DataFrame) -> DataFrame:
         if after == before or after[0] == 0:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
         moved = stored(_small_star(_large_star(links)), "links")
-        removed(links)
+        discard(links)
         links, before = moved, after
