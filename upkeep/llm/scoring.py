@@ -28,7 +28,7 @@ from upkeep.llm.common import documents, stored
 DEPTH = 4
 END = 0xFF  # never occurs in UTF-8
 #: Bytes of text in a block, and in a step within it.
-BLOCK_BYTES, STEP_BYTES = 24 << 20, 4 << 20
+BLOCK_BYTES, STEP_BYTES = 16 << 20, 2 << 20
 HELD_OUT = 10
 
 
@@ -287,7 +287,8 @@ def score_documents(
     made = blocks_of(documents(docs, id_col, text_col), depth, block_bytes)
     grams = made.where("gram is not null").select("block", "gram", "n")
     model = code_lengths(grams.select("gram", "n"), depth)
-    gram_part = grams.join(model, "gram").select("block", "gram", F.lit(None).cast("binary").alias("word"), "value")
+    valued = stored(grams.join(model, "gram").select("block", "gram", "value"), "lm-grams", compression="zstd")
+    gram_part = valued.select("block", "gram", F.lit(None).cast("binary").alias("word"), "value")
 
     word = Window.partitionBy("word")
     words = made.where("word is not null").select("block", "word", "n")
