@@ -78,9 +78,33 @@ def test_intervals_find_shared_prefixes():
             assert (shared_prefixes(symbols, length) == want).all()
 
 
-def test_contexts_do_not_match_across_their_ends():
-    hits = repeated_windows([b"abcd", b"cdab", b"bcd"], 3)
-    assert [h.tolist() for h in hits] == [[False, True], [False, False], [True]]
+def test_windows_of_contexts_against_brute_force():
+    """Contexts around an anchor at random places; equal windows count at equal distance only."""
+    rng = random.Random(8)
+    for length in (5, 12, 40, 90):
+        for _ in range(30):
+            base = "".join(rng.choices("abc", k=3 * length)).encode()
+            rows = []
+            for k in range(rng.randint(2, 7)):
+                text = bytearray(base)
+                for _ in range(rng.randint(0, 2)):
+                    text[rng.randrange(len(text))] = 100 + k
+                place = length + 3
+                low = place - rng.randint(0, length - 1)
+                high = min(place, low + rng.randint(0, length))
+                rows.append({"anchor": 1, "place": place, "low": low, "bytes": bytes(text[low : high + length])})
+            seen = {}
+            for r in rows:
+                for i in range(len(r["bytes"]) - length + 1):
+                    key = (r["low"] + i, r["bytes"][i : i + length])
+                    seen[key] = seen.get(key, 0) + 1
+            for r, hit in zip(rows, repeated_windows(rows, length)):
+                want = [seen[r["low"] + i, r["bytes"][i : i + length]] > 1 for i in range(len(hit))]
+                # A window may also occur at another distance, which is a repeat as well.
+                assert all(h or not w for h, w in zip(hit, want))
+                extra = [i for i, (h, w) in enumerate(zip(hit, want)) if h and not w]
+                others = [x["bytes"] for x in rows]
+                assert all(sum(o.count(r["bytes"][i : i + length]) for o in others) > 1 for i in extra)
 
 
 def test_every_window_has_one_anchor():

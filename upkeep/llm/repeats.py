@@ -6,11 +6,13 @@ anchor, so anchors are grouped by the ``KEY`` bytes that follow them, and the wi
 anchor stands for are compared within its group only. Anchors that nothing shares drop out here.
 
 A group first puts equal contexts (all bytes of an anchor's windows) together: their windows are
-repeats. One context of each kind goes on. Tasks join the contexts of whole groups to one text,
-sort its suffixes, and expand intervals of the transform by one byte to the left, breadth first:
-intervals of length n set the common prefixes of length n that are not set yet. At ``LENGTH`` the
-expansion stops; neighbours without a value share a window. Groups with too many contexts for a
-task compare hashes of their windows instead, which are dealt to all tasks.
+repeats. One context of each kind goes on, in chunks of ``CHUNK`` windows. All windows of a chunk
+hold the same core of ``LENGTH - CHUNK + 1`` bytes; chunks that share no core with another drop
+out, and a shared core becomes one symbol. Tasks join the chunks to one text, sort its suffixes, and
+expand intervals of the transform by one symbol to the left, breadth first: intervals of length n
+set the common prefixes of length n that are not set yet. At the length of a window the expansion
+stops; neighbours without a value share a window. Groups with too many contexts for a task compare
+hashes of their windows instead, which are dealt to all tasks.
 """
 
 from __future__ import annotations
@@ -23,8 +25,10 @@ from pyspark.sql import functions as F
 from upkeep.llm.common import documents, stored
 
 LENGTH, KEY = 400, 128
-#: Bytes of text that a task looks through at once, and symbols that it sorts at once.
-STEP_BYTES, SORT_SYMBOLS = 4 << 20, 2 << 20
+#: Windows of a chunk.
+CHUNK = 32
+#: Bytes of text that a task looks through at once, contexts that it compares and symbols that it sorts.
+STEP_BYTES, STEP_CONTEXTS, SORT_SYMBOLS = 4 << 20, 20_000, 1 << 20
 #: Contexts of a group that one task sorts; larger groups take the way over window hashes.
 GROUP_CONTEXTS = 8192
 
@@ -123,18 +127,69 @@ def shared_prefixes(symbols: np.ndarray, length: int) -> np.ndarray:
     return shared
 
 
-def repeated_windows(contexts: list[bytes], length: int) -> list[np.ndarray]:
-    """For each context, which of its windows occurs elsewhere in one of the contexts."""
-    sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
-    symbols = np.zeros(int(sizes.sum()) + len(contexts), np.int64)
-    ends = np.cumsum(sizes + 1) - 1
-    inside = np.ones(len(symbols), bool)
-    inside[ends] = False
-    symbols[inside] = np.frombuffer(b"".join(contexts), np.uint8)
-    symbols[ends] = 256 + np.arange(len(contexts))  # ends match nothing
-    shared = shared_prefixes(symbols, length)
-    begins = ends - sizes
-    return [shared[a : b - length + 1] for a, b in zip(begins.tolist(), ends.tolist())]
+def pieces(context: bytes, place: int, length: int, chunk: int):
+    """The windows of a context in chunks by their distance to the anchor, which stands at ``place``.
+
+    All windows of a chunk hold its core, ``length - chunk + 1`` bytes. Yields chunk, core, the
+    bytes before and after it that some window of the context reaches, and first and last window.
+    """
+    size, windows = length - chunk + 1, len(context) - length + 1
+    for number in range((place - windows + 1) // chunk, place // chunk + 1):
+        at = place - number * chunk
+        first, last = max(0, at - chunk + 1), min(windows - 1, at)
+        yield number, context[at : at + size], context[first:at], context[at + size : last + length], first, last
+
+
+def repeated_windows(rows: list[dict], length: int) -> list[np.ndarray]:
+    """For each context (anchor, place in its bytes, bytes) which of its windows another one holds.
+
+    Contexts whose chunk has the same core form a group, in which the core is one symbol: windows
+    are then ``chunk`` symbols long, and intervals are expanded up to that length.
+    """
+    import xxhash
+
+    chunk = min(CHUNK, length)
+    groups: dict[tuple, dict[tuple, list]] = {}
+    hits = [np.zeros(len(r["bytes"]) - length + 1, bool) for r in rows]
+    for number, row in enumerate(rows):
+        for part, core, before, after, first, last in pieces(row["bytes"], row["place"] - row["low"], length, chunk):
+            kinds = groups.setdefault((row["anchor"], part, xxhash.xxh64_intdigest(core)), {})
+            kinds.setdefault((before, after), []).append((number, first, last + 1))
+    mixed = []
+    for kinds in groups.values():
+        for members in kinds.values():
+            if len(members) > 1:  # equal pieces
+                for number, first, end in members:
+                    hits[number][first:end] = True
+        if len(kinds) > 1:
+            mixed.append(kinds)
+    start = 0
+    while start < len(mixed):
+        end, size = start, 0
+        while end < len(mixed) and size < SORT_SYMBOLS:
+            size += 2 * chunk * len(mixed[end])
+            end += 1
+        expand(mixed[start:end], chunk, hits)
+        start = end
+    return hits
+
+
+def expand(groups: list[dict[tuple, list]], chunk: int, hits: list[np.ndarray]) -> None:
+    """Mark the windows that different pieces of a group share."""
+    kinds = [k for g in groups for k in g]
+    owner = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
+    data = b"".join([b"%b\0%b\0" % k for k in kinds])
+    before = np.fromiter((len(k[0]) for k in kinds), np.int64, len(kinds))
+    sizes = before + np.fromiter((len(k[1]) for k in kinds), np.int64, len(kinds)) + 2
+    begins = np.cumsum(sizes) - sizes
+    symbols = np.frombuffer(data, np.uint8).astype(np.int64)
+    symbols[begins + before] = 256 + owner
+    symbols[begins + sizes - 1] = 256 + len(groups) + np.arange(len(kinds))  # ends match nothing
+    shared = shared_prefixes(symbols, chunk)
+    members = (m for g in groups for m in g.values())
+    for begin, some in zip(begins.tolist(), members):
+        for number, first, end in some:
+            hits[number][first:end] |= shared[begin : begin + end - first]
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,20 +251,19 @@ def compared(contexts: DataFrame, length: int) -> DataFrame:
     """(t1, t2, low, high) of runs of bytes covered by windows that another context of the group holds."""
 
     def compare(batches):
-        waiting, size = [], 0
+        waiting = []
         for batch in batches:
             for row in batch.to_pylist():
-                if size >= SORT_SYMBOLS and row["anchor"] != waiting[-1]["anchor"]:
+                if len(waiting) >= STEP_CONTEXTS and row["anchor"] != waiting[-1]["anchor"]:
                     yield covered(waiting)
-                    waiting, size = [], 0
+                    waiting = []
                 waiting.append(row)
-                size += len(row["bytes"])
         if waiting:
             yield covered(waiting)
 
     def covered(rows):
         out = []
-        for row, hit in zip(rows, repeated_windows([r["bytes"] for r in rows], length)):
+        for row, hit in zip(rows, repeated_windows(rows, length)):
             if row["n"] == 1 and hit.any():
                 at = np.flatnonzero(hit) + row["low"]
                 for a, b in zip(*merged(at, at + length)):
@@ -253,7 +307,7 @@ def hashed(contexts: DataFrame, length: int) -> DataFrame:
 def covers(texts: DataFrame, known: DataFrame, length: int, key: int) -> DataFrame:
     """(t1, t2, low, high): runs of bytes of distinct texts that repeated windows cover."""
     made = anchor_table(texts, length, key)  # copies of a text repeat its anchors, as they repeat its windows
-    one = [F.first(c).alias(c) for c in ("t1", "t2", "low", "high")]
+    one = [F.first(c).alias(c) for c in ("t1", "t2", "place", "low", "high")]
     kinds = made.groupBy("anchor", "context").agg(F.count("*").alias("n"), *one)
     kinds = stored(kinds, "anchor-kinds", compression="zstd")
     # Equal contexts: all their windows are repeats.
@@ -265,7 +319,7 @@ def covers(texts: DataFrame, known: DataFrame, length: int, key: int) -> DataFra
     wanted = kinds.join(mixed.select("anchor", "kinds"), "anchor").join(known.select("t1", "t2", "home"), ["t1", "t2"])
     cut = F.substring("text", F.col("low") + 1, F.col("high") - F.col("low") + length).alias("bytes")
     same = [texts[c] == wanted[c] for c in ("t1", "t2")] + [texts["doc_id"].eqNullSafe(wanted["home"])]
-    contexts = texts.join(wanted, same).select("anchor", "context", wanted["t1"], wanted["t2"], "low", "n", "kinds", cut)
+    contexts = texts.join(wanted, same).select("anchor", "context", wanted["t1"], wanted["t2"], "place", "low", "n", "kinds", cut)
     contexts = stored(contexts.dropDuplicates(["anchor", "context"]), "contexts", compression="zstd")
     few = compared(contexts.where(F.col("kinds") <= GROUP_CONTEXTS).drop("kinds"), length)
     many = hashed(contexts.where(F.col("kinds") > GROUP_CONTEXTS), length)
