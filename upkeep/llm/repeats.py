@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.common import documents, stored
+from upkeep.workspace import discard
 
 LENGTH, KEY = 400, 128
 #: Windows of a chunk.
 CHUNK = 32
 #: Bytes of text that a task looks through at once, contexts that it compares and symbols that it sorts.
-STEP_BYTES, STEP_CONTEXTS, SORT_SYMBOLS = 4 << 20, 20_000, 1 << 20
+STEP_BYTES, STEP_CONTEXTS, SORT_SYMBOLS = 2 << 20, 20_000, 1 << 20
 #: Contexts of a group that one task sorts; larger groups take the way over window hashes.
 GROUP_CONTEXTS = 8192
 
@@ -305,7 +306,7 @@ def hashed(contexts: DataFrame, length: int) -> DataFrame:
 
 
 def covers(texts: DataFrame, known: DataFrame, length: int, key: int) -> DataFrame:
-    """(t1, t2, low, high): runs of bytes of distinct texts that repeated windows cover."""
+    """(t1, t2, spans): low and high of runs of bytes of distinct texts that repeated windows cover."""
     made = anchor_table(texts, length, key)  # copies of a text repeat its anchors, as they repeat its windows
     one = [F.first(c).alias(c) for c in ("t1", "t2", "place", "low", "high")]
     kinds = made.groupBy("anchor", "context").agg(F.count("*").alias("n"), *one)
@@ -317,13 +318,18 @@ def covers(texts: DataFrame, known: DataFrame, length: int, key: int) -> DataFra
     # Different contexts of one anchor: one of each kind is compared with the others.
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1")
     wanted = kinds.join(mixed.select("anchor", "kinds"), "anchor").join(known.select("t1", "t2", "home"), ["t1", "t2"])
+    wanted = stored(wanted, "wanted-contexts", compression="zstd")  # before the texts are shuffled
     cut = F.substring("text", F.col("low") + 1, F.col("high") - F.col("low") + length).alias("bytes")
     same = [texts[c] == wanted[c] for c in ("t1", "t2")] + [texts["doc_id"].eqNullSafe(wanted["home"])]
     contexts = texts.join(wanted, same).select("anchor", "context", wanted["t1"], wanted["t2"], "place", "low", "n", "kinds", cut)
     contexts = stored(contexts.dropDuplicates(["anchor", "context"]), "contexts", compression="zstd")
     few = compared(contexts.where(F.col("kinds") <= GROUP_CONTEXTS).drop("kinds"), length)
     many = hashed(contexts.where(F.col("kinds") > GROUP_CONTEXTS), length)
-    return whole.unionByName(few).unionByName(many)
+    found = whole.unionByName(few).unionByName(many)
+    spans = found.groupBy("t1", "t2").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    spans = stored(spans, "repeat-spans", compression="zstd")
+    discard(made, kinds, wanted, contexts)
+    return spans
 
 
 def remove_repeats(
@@ -340,10 +346,9 @@ def remove_repeats(
     texts = text_columns(documents(docs, id_col, text_col))
     known = texts.groupBy("t1", "t2").agg(F.min("doc_id").alias("home"), F.count("*").alias("copies"))
     known = stored(known, "distinct-texts")
-    found = covers(texts, known, length, key)
-    spans = found.groupBy("t1", "t2").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
+    spans = covers(texts, known, length, key)
     copies = known.where("copies > 1").select("t1", "t2", "copies")
-    marks = stored(spans.join(copies, ["t1", "t2"], "full"), "repeat-spans")
+    marks = stored(spans.join(copies, ["t1", "t2"], "full"), "repeat-marks", compression="zstd")
     joined = texts.join(marks, ["t1", "t2"], "left").select("doc_id", "text", "spans", "copies")
 
     def clean(batches):
