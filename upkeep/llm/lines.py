@@ -103,7 +103,9 @@ def close_lines(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFra
     """rank, h1, h2 and words of the distinct lines that share an end with another; ranks follow their order."""
     ends = lines.where("anchors is not null").select("h1", F.explode("anchors").alias("anchor"))
     shared = ends.groupBy("anchor").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high")
-    close = ends.join(shared.select("anchor"), "anchor", "left_semi").select("h1").distinct()
+    # Stored, so that adaptive execution can split the join where very many lines begin alike.
+    shared = stored(shared.select("anchor"), "shared-anchors")
+    close = ends.join(shared, "anchor", "left_semi").select("h1").distinct()
     places = firsts.join(close, "h1", "left_semi").groupBy("doc_id", "tie")
     places = stored(places.agg(F.collect_list(F.struct("h1", "h2", "pos")).alias("places")), "line-places")
     same = docs["doc_id"].eqNullSafe(places["doc_id"]) & (docs["tie"] == places["tie"])
@@ -131,6 +133,7 @@ def near_repeats(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFr
     keys = stored(keys, "line-variants", compression="zstd")
     least = [F.min(F.when(F.col("kind") == i, F.col("rank"))).alias(f"least{i}") for i in range(3)]
     groups = keys.groupBy("key").agg(F.count("*").alias("n"), *least).where("n > 1")
+    groups = stored(groups, "variant-groups")
     lead = F.when(F.col("kind") == 0, F.col("least0")).when(F.col("kind") == 1, F.col("least2")).otherwise(F.col("least1"))
     pairs = keys.join(groups, "key").select("key", "kind", "rank", lead.alias("earlier")).where("earlier < rank")
     pairs = stored(pairs, "line-pairs")
@@ -155,7 +158,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     firsts = stored(firsts.select("h1", "h2", "first.*"), "first-lines", compression="zstd")
     near = near_repeats(docs, lines, firsts).withColumn("near", F.lit(True))
     place = F.struct("doc_id", "tie", "pos")
-    judged = firsts.select("h1", "h2", place.alias("first")).join(near, ["h1", "h2"], "left")
+    judged = stored(firsts.join(near, ["h1", "h2"], "left"), "judged-lines", compression="zstd")
+    judged = judged.select("h1", "h2", place.alias("first"), "near")
     goes = F.coalesce("near", F.lit(False)) | ~place.eqNullSafe(F.col("first"))
     marked = lines.drop("anchors").join(judged, ["h1", "h2"]).select("doc_id", "tie", "pos", goes.alias("goes"))
     dropped = F.sort_array(F.collect_set(F.when(F.col("goes"), F.col("pos"))))
