@@ -13,13 +13,14 @@ from upkeep.llm.common import stored
 from upkeep.llm.decontaminate import without_benchmark
 from upkeep.llm.lines import dedup_lines
 from upkeep.llm.packing import pack
-from upkeep.llm.quality import judged, trusted_ids
+from upkeep.llm.quality import judged, toxic_ids, trusted_ids
 from upkeep.llm.simhash import one_of_each
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the rules keep."""
-    rows, name = judged(docs, trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows, name = judged(docs, trusted_ids(labels), toxic=toxic_ids(labels))
     return rows.where(F.col(name)["kept"]).drop(name)
 
 

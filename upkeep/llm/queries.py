@@ -11,7 +11,7 @@ from upkeep.llm.chat import format_conversations, read_back
 from upkeep.llm.decontaminate import contaminated
 from upkeep.llm.lines import dedup_lines
 from upkeep.llm.packing import pack
-from upkeep.llm.quality import judged, trusted_ids
+from upkeep.llm.quality import judged, toxic_ids, trusted_ids
 from upkeep.llm.repeats import remove_repeats
 from upkeep.llm.scoring import score_documents
 from upkeep.llm.sequences import encode_documents
@@ -106,7 +106,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    rows, name = judged(docs.select("doc_id", "text"), trusted_ids(labels))
+    rows, name = judged(docs.select("doc_id", "text"), trusted_ids(labels), toxic=toxic_ids(labels))
     return rows.select("doc_id", f"{name}.*")
 
 
