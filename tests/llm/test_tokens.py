@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from upkeep.llm.packing import STEP_SEQUENCES, pack, plan
 from upkeep.llm.queries import all_queries
@@ -35,6 +36,27 @@ def test_odd_and_table_texts(table_docs):
     assert ENCODER.encode([t.encode() for t in texts]) == [direct(t) for t in texts]
 
 
+MARKED = [
+    "hello <|endoftext|> world",
+    "Hello<|startoftext|>A <|endoftext|>B<|endoftext|>",
+    "<|ENDOFTEXT|> is no mark, <|EndOfText|> neither",
+    "<|endoftext|>, <|ENDOFTEXT|> É don't",
+    "<|endoftext |> <| endoftext|>",
+]
+
+
+def test_added_tokens_as_the_library_finds_them(spark):
+    fresh = Tokenizer.from_file(default_tokenizer())
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in MARKED]
+    found = ENCODER.encode([t.encode() for t in MARKED])
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == want
+    assert [ENCODER.encode([t.encode()]) for t in MARKED] == [[x] for x in found]
+    assert want[0] == [3306, 49407, 1002] and 49407 not in want[2]
+    docs = odd.documents(spark, list(enumerate(MARKED)))
+    pieces = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in pack(docs).collect()}
+    assert {i: x[: len(want[i])] for i, x in pieces.items()} == dict(enumerate(want))
+
+
 def test_files_hold_all_ids_in_order(spark, docs, tmp_path):
     shards = write_sequences(docs, str(tmp_path / "files"))
     found = read_documents(shards, str(tmp_path / "files")).orderBy("start").collect()

@@ -5,6 +5,10 @@ merges look across it. A text's ids are therefore those of its white-space separ
 after another, and a worker encodes each distinct chunk once. Letters A-Z are lowered first, which
 the tokenizer does anyway, so that more chunks are equal. Marks at the end of a word are a token
 group of their own, so ``word,`` needs no more than ``word`` and ``,``.
+
+The tokenizer's added tokens, such as ``<|endoftext|>``, are found in the text as it is, before it
+is lowered. A text that holds one is encoded as a whole by the library. In any other text they must
+not be found, even if lowering its letters makes one.
 """
 
 from __future__ import annotations
@@ -43,7 +47,7 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.marks = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.suffix = self.model.end_of_word_suffix or ""
         self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that end a word
@@ -61,11 +65,26 @@ class ChunkEncoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text."""
+        marked = [any(m in t for m in self.marks) for t in texts]
+        if any(marked):
+            found = self.encode_chunks([b"" if m else t for t, m in zip(texts, marked)])
+            for i in np.flatnonzero(marked):
+                ids = self.tokenizer.encode(texts[i].decode(), add_special_tokens=False).ids
+                found[i] = np.array(ids, "<u4").tobytes()
+            return found
+        return self.encode_chunks(texts)
+
+    def encode_chunks(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of texts without added tokens."""
         known, pieces = self.known, [t.lower().split() for t in texts]
         missing = set().union(*pieces).difference(known)
         if not missing:
             return [b"".join(map(known.__getitem__, p)) for p in pieces]
-        found = self.learned(missing)
+        self.tokenizer.encode_special_tokens = True  # lowered chunks hold no added token
+        try:
+            found = self.learned(missing)
+        finally:
+            self.tokenizer.encode_special_tokens = False
         if len(known) + len(found) <= KEPT_CHUNKS:
             known.update(found)
             return [b"".join(map(known.__getitem__, p)) for p in pieces]
