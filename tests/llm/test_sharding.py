@@ -57,6 +57,22 @@ def test_a_third_of_the_rows_are_copies(spark):
     assert max(load.values()) <= 1.1 * min(load.values())
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_groups_below_a_share_have_one_home_beside_a_hot_text(spark, seed):
+    text = lambda k: f"{seed} {k:06d} " + "words " * 20
+    numbers = [0] * 6000 + [1 + i // 8 for i in range(7200)] + [1000 + i for i in range(4800)]
+    texts = [(i, text(k)) for i, k in enumerate(numbers)]  # 900 groups of 8 rows, a little below share / HEAVY
+    shards = 40
+    rows = shard(odd.documents(spark, texts), shards=shards).collect()
+    check(rows, texts, shards)
+    load, homes, rows_of = Counter(), defaultdict(set), Counter(numbers)
+    for r in rows:
+        load[r["shard"]] += r["size"]
+        homes[numbers[r["doc_id"]]].add(r["shard"])
+    assert all(len(h) == 1 for k, h in homes.items() if rows_of[k] <= len(numbers) / shards)
+    assert max(load.values()) <= 1.1 * min(load.values())
+
+
 def test_boundaries_within_a_group_only_where_it_fills_ranges():
     samples = sorted([(1, k, 0) for k in range(40)] + [(2, 5, 0), (3, 6, 0), (4, 7, 0), (4, 8, 0)])
     found = splitters(samples, 11)

@@ -93,22 +93,24 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
     pieces = single.groupBy("group_key", "part").agg(F.sum("size")).collect()
     placed, load = placed_groups(pieces, shards)
 
-    # The rest: ranges between sampled splitters, in the order of their keys.
+    # The rest: ranges between sampled splitters, in the order of their keys. They start where a
+    # group starts, and are cut between groups only, so that a group has one middle.
     light = tagged.where("parts is null")
     ranges = shards * RANGES
-    bounds = splitters(sample_keys(light, max(1.0, total / (ranges * SAMPLES))), ranges)
+    step = max(1.0, (total - sum(r[1] for r in heavy)) / (ranges * SAMPLES))
+    bounds = sorted({key[0] for key in splitters(sample_keys(light, step), ranges)})
 
     @F.pandas_udf("int")
-    def range_of(group: pd.Series, number: pd.Series, salt: pd.Series) -> pd.Series:
-        return pd.Series([bisect_right(bounds, key) for key in zip(group, number, salt)], dtype="int32")
+    def range_of(group: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(bounds, key) for key in group], dtype="int32")
 
-    light = light.withColumn("cell", range_of("group_key", "id_key", "salt"))
+    light = light.withColumn("cell", range_of("group_key"))
     filled = stored(light.drop("parts"), "shard-ranges")
     sums = {r[0]: r[1] for r in filled.groupBy("cell").agg(F.sum("size")).collect()}
     mean = sum(sums.values()) / max(1, len(sums))
     over = [(c, -(-b // int(mean))) for c, b in sums.items() if b > OVERFULL * mean]
     cuts = F.broadcast(local_rows(spark, over, "cell int, cuts long"))
-    part = F.pmod(F.xxhash64("group_key", "id_key", "salt"), F.coalesce("cuts", F.lit(1))).cast("int")
+    part = F.pmod(F.xxhash64("group_key"), F.coalesce("cuts", F.lit(1))).cast("int")
     filled = filled.join(cuts, "cell", "left").withColumn("part", part).drop("cuts")
     start, starts = 0, []
     for r in sorted(filled.groupBy("cell", "part").agg(F.sum("size")).collect()):
