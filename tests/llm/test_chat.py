@@ -45,6 +45,14 @@ def test_turns_and_loss_text_come_back(spark):
     assert found == expected(ROWS)
 
 
+def test_rows_without_an_id_are_conversations_of_their_own(spark):
+    rows = [(None, i % 3, "assistant", f"text {i // 2}") for i in range(40)] + [(1, 0, "user", "a"), (1, 1, "assistant", "b")]
+    read = read_back(format_conversations(conversations(spark, rows))).collect()
+    found = sorted(([tuple(t) for t in r["turns"]], r["loss_text"]) for r in read if r["conv_id"] is None)
+    assert found == sorted(([x[2:]], x[3]) for x in rows[:40])
+    assert [len(r["turns"]) for r in read if r["conv_id"] == 1] == [2] and len(read) == 41
+
+
 def test_no_rows(spark):
     assert read_back(format_conversations(conversations(spark, []))).count() == 0
 

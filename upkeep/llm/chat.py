@@ -85,8 +85,8 @@ def format_conversations(conversations: DataFrame, tokenizer: str | None = None,
     ``token_starts`` and ``token_ends`` are offsets into ``formatted`` in code points, cut to the
     text under the loss where ``loss_mask`` is true. Turns are ordered by turn, role and text, so
     that ties and repeated rows have one order; a null turn comes first. Null roles and texts are
-    empty; rows without a conv_id are one conversation. Other columns are ignored. An empty table
-    gives no rows. A conversation is one record and has to fit into a task.
+    empty; each row without a conv_id is a conversation of its own. Other columns are ignored. An
+    empty table gives no rows. A conversation is one record and has to fit into a task.
     """
     path = tokenizer or default_tokenizer()
     turn = F.struct(
@@ -95,7 +95,8 @@ def format_conversations(conversations: DataFrame, tokenizer: str | None = None,
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("turn"))
-    whole = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
+    whole = rows.where("conv_id is not null").groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
+    whole = whole.unionByName(rows.where("conv_id is null").select("conv_id", F.array("turn").alias("turns")))
 
     def form(batches):
         encoder = loader(path)
