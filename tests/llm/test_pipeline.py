@@ -1,11 +1,14 @@
+import numpy as np
 import odd
 import pytest
 from test_decontaminate import ITEMS, LEAKS
+from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline as pipeline
 from upkeep.llm.decontaminate import Index
 from upkeep.llm.quality import judged, trusted_ids
+from upkeep.llm.tokens import default_tokenizer
 
 
 @pytest.fixture(scope="module")
@@ -60,6 +63,26 @@ def test_run_equals_its_stages(spark, folder):
     assert found.columns[:4] == ["doc_id", "start", "length", "doc_tokens"]
 
 
+def test_pieces_of_run_hold_all_ids_of_each_document(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for _, stage in pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+    tokenizer = Tokenizer.from_file(default_tokenizer())
+    ids = lambda t: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes()
+    number = lambda r: -1 if r["doc_id"] is None else r["doc_id"]
+    want = sorted((number(r), ids(r["text"])) for r in docs.collect())
+    assert len({(i, len(x)) for i, x in want}) == len(want)  # so that pieces tell their document
+    found = {}
+    for p in pipeline.run(spark, folder).collect():
+        assert len(p["ids"]) == 4 * p["length"]
+        found.setdefault((number(p), p["doc_tokens"]), []).append((p["start"], p["doc_tokens"], bytes(p["ids"])))
+    for pieces in found.values():
+        pieces.sort()
+        assert [s for s, _, _ in pieces] == [sum(len(x) // 4 for _, _, x in pieces[:k]) for k in range(len(pieces))]
+        assert {n for _, n, _ in pieces} == {sum(len(x) // 4 for _, _, x in pieces)}
+    assert sorted((i, b"".join(x for _, _, x in pieces)) for (i, _), pieces in found.items()) == want
+
+
 def test_no_documents(spark, folder, none):
     docs = none
     for _, stage in pipeline.STAGES:

@@ -83,7 +83,7 @@ def check(rows, texts, depth=DEPTH):
     assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9, atol=1e-9)
 
 
-@pytest.mark.parametrize("depth,block", [(4, 16 << 20), (5, 3000)])
+@pytest.mark.parametrize("depth,block", [(4, 16 << 20), (2, 500), (5, 3000)])
 def test_odd_documents(spark, docs, depth, block):
     check(score_documents(docs, depth=depth, block_bytes=block).collect(), odd.TEXTS, depth)
 

@@ -81,7 +81,7 @@ def near_prints(seed, groups, each):
     return sorted(values)
 
 
-@pytest.mark.parametrize("bits", [0, 4, 6])
+@pytest.mark.parametrize("bits", [0, 1, 4, 6])
 def test_grids_keep_every_component(spark, bits):
     values = near_prints(bits, 40, 12)
     frame = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fingerprint long")
@@ -126,6 +126,12 @@ def test_components_of_a_long_chain(spark):
     assert found == {i: 0 for i in range(1, 61)} | {900: 500}
 
 
+def test_components_of_a_chain_of_200_links(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(7, 7), (500, 900), (900, 500)], "u long, v long")
+    found = {r["node"]: r["root"] for r in components(links).collect()}
+    assert found == {i: 0 for i in range(1, 201)} | {900: 500}
+
+
 def test_one_row_of_each_component(spark, docs):
     kept = one_of_each(docs)
     assert kept.columns == docs.columns
