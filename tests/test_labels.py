@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, day, rows
+from helpers import at, day, rows
 from upkeep.operators.labels import label_by_day, label_by_interval, qualifying
 from upkeep.plans.matrix import build_matrix
 from upkeep.registry import standins

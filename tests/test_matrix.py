@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, day, formatted, rows
+from helpers import at, day, formatted, rows
 from upkeep import schemas
 from upkeep.functions.columns import rounded, verdict
 from upkeep.functions.keys import as_date, asset_from_path, key_bucket, request_date

@@ -1,3 +1,8 @@
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as contract
@@ -5,7 +10,7 @@ from bench import HEADLINE
 from upkeep.registry.oracles import all_oracles
 from upkeep.registry.queries import all_queries
 from compare import rows_of
-from conftest import formatted
+from helpers import formatted
 
 ROWS_ONLY = {"leaderboard"}
 
@@ -44,3 +49,16 @@ def test_plans_hold_no_python_and_no_cross_join(spark, tables, name):
     plan = formatted(contract.queries()[name](spark, tables))
     for operator in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert operator not in plan
+
+
+@pytest.mark.parametrize("gone", [["upkeep/llm", "tests/llm"], ["upkeep/llm", "tests/llm", "corpus_pipeline.py"]])
+def test_the_rest_works_without_the_training_data_folders(tmp_path, gone):
+    copy = tmp_path / "copy"
+    root = Path(contract.__file__).resolve().parent
+    shutil.copytree(root, copy, ignore=lambda folder, names: [
+        n for n in names if n in (".git", "__pycache__") or str((Path(folder) / n).relative_to(root)) in gone
+    ])
+    script = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), 'pipeline' in e.queries())"
+    run = subprocess.run([sys.executable, "-c", script], cwd=copy, capture_output=True, text=True, timeout=120)
+    assert run.returncode == 0, run.stderr
+    assert run.stdout.split() == [str(len(all_queries())), str(len(all_oracles())), "False"]

@@ -2,7 +2,7 @@ from datetime import date
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from upkeep.defaults import UTILIZATION_COLUMNS
 from upkeep.sources.jdbc import Split, read_table
 from upkeep.sources.models import append_runs, load_model, read_runs

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import day, rows
+from helpers import day, rows
 from upkeep import schemas
 from upkeep.defaults import FEATURES, GRIDS, KEYS, SMALL_GRIDS
 from upkeep.learning.catalogue import candidates, f1_evaluator, stages
