@@ -46,5 +46,36 @@ from d left join b using (doc_id)
 """
 
 
+#: Text with A-Z lowered and nothing else.
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = rf"""
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array({LOWER}, '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents
+),
+shingles as (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as s from words
+),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+pairs as (
+  select a.doc_id as u, b.doc_id as v, count(*) as k from shingles a join shingles b using (s)
+  where a.doc_id < b.doc_id group by all
+),
+links as (
+  select u, v from pairs join sizes x on x.doc_id = u join sizes y on y.doc_id = v where 100 * k >= 85 * (x.n + y.n - k)
+),
+both_ways as (select u, v from links union all select v, u from links),
+reached as (
+  select u as node, v as other from both_ways
+  union select node, v from reached join both_ways on other = u
+),
+least as (select node as doc_id, min(other) as least from reached group by node)
+select d.doc_id, coalesce(n, 0) as n_shingles, least(d.doc_id, coalesce(least, d.doc_id)) as component_id,
+  d.doc_id <= coalesce(least, d.doc_id) as kept
+from documents d left join sizes using (doc_id) left join least using (doc_id)
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op5_line_dedup": OP5}
+    return {"op5_line_dedup": OP5, "op11_minhash": OP11}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from upkeep.llm.chat import format_conversations, read_back
 from upkeep.llm.decontaminate import contaminated
 from upkeep.llm.lines import dedup_lines
+from upkeep.llm.minhash import near_duplicate_sets
 from upkeep.llm.packing import pack
 from upkeep.llm.quality import judged, toxic_ids, trusted_ids
 from upkeep.llm.repeats import remove_repeats
@@ -116,5 +117,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_sets(table(spark, sf_dir, "documents"), percent=85, shingle=5)
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
