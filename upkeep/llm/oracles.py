@@ -77,5 +77,38 @@ from documents d left join sizes using (doc_id) left join least using (doc_id)
 """
 
 
+OP12 = rf"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) as piece from documents
+),
+words as (
+  select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces
+),
+totals as (select lang, cast(sum(len(w)) as bigint) as n from words group by lang),
+sizes as (select unnest([1, 2, 3, 4]) as size),
+starts as (select lang, w, size, unnest(range(1, len(w) - size + 2)) as i from words, sizes where len(w) >= size),
+counts as (select lang, w[i:i + size - 1] as p, size, count(*) as f from starts group by lang, p, size),
+found as (select lang, p, size, f as a from counts where size >= 2 and f >= 30),
+inside as (
+  select lang, a, p[i:i + s - 1] as p from found, (values (2, 1), (2, 2), (2, 3), (3, 1), (3, 2)) v(s, i)
+  where s < len(p) and i + s - 1 <= len(p)
+),
+longer as (select lang, p, max(a) as most from inside group by lang, p),
+cuts as (select f.lang, f.p, f.a, unnest(range(1, f.size)) as k from found f left join longer using (lang, p)
+  where most is null or 100 * most < 80 * f.a),
+scores as (
+  select c.*, x.f as l, y.f as r, cast((cast(2000000 as hugeint) * c.a) // (x.f + y.f) as bigint) as score
+  from cuts c join counts x on x.lang = c.lang and x.p = c.p[1:c.k] join counts y on y.lang = c.lang and y.p = c.p[c.k + 1:]
+),
+best as (select *, row_number() over (partition by lang, p order by score, k) as place from scores),
+ranked as (
+  select lang, array_to_string(p, ' ') as phrase, a, l, r, score,
+    row_number() over (partition by lang order by score desc, a desc, array_to_string(p, ' ')) as rank
+  from best where place = 1
+)
+select lang, rank, phrase, a, l, r, n, score from ranked join totals using (lang) where rank <= 2000
+"""
+
+
 def all_oracles() -> dict[str, str]:
-    return {"op5_line_dedup": OP5, "op11_minhash": OP11}
+    return {"op5_line_dedup": OP5, "op11_minhash": OP11, "op12_phrases": OP12}

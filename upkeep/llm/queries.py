@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from upkeep.llm.alignment import align_documents
 from upkeep.llm.chat import format_conversations, read_back
 from upkeep.llm.decontaminate import contaminated
 from upkeep.llm.lines import dedup_lines
 from upkeep.llm.minhash import near_duplicate_sets
 from upkeep.llm.packing import pack
+from upkeep.llm.phrases import mine_phrases
 from upkeep.llm.quality import judged, toxic_ids, trusted_ids
 from upkeep.llm.repeats import remove_repeats
 from upkeep.llm.scoring import score_documents
@@ -122,5 +124,15 @@ def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_sets(table(spark, sf_dir, "documents"), percent=85, shingle=5)
 
 
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(table(spark, sf_dir, "documents"))
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
