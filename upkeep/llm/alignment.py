@@ -16,6 +16,7 @@ to what lies before it, which is checked when they are loaded. Other texts are e
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,8 @@ from upkeep.workspace import discard
 BLOCK_BYTES, KEPT_CHUNKS = 4 << 20, 500_000
 #: Links of a group that are listed one by one; larger groups count their distinct ids first.
 GROUP_LINKS = 4096
-SPACES = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+#: A space beside other white space or at an end of the text; white space of any kind at an end.
+LOOSE_SPACE = re.compile(r"\A\s|\s\Z|\s | \s")
 
 
 def default_tokenizers() -> tuple[str, str]:
@@ -98,7 +100,7 @@ class Tokenizers:
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """The same, through chunks where spaces are single and lie between other signs."""
         chunks = [t.split(" ") if t else [] for t in texts]
-        plain = [self.apart and all(c and c[0] not in SPACES and c[-1] not in SPACES and ok(c) for c in some) for some in chunks]
+        plain = [self.apart and not LOOSE_SPACE.search(t) for t in texts]
         missing = list(set().union(*[c for c, p in zip(chunks, plain) if p]).difference(self.known))
         new: dict[str, tuple[bytes, bytes] | None] = {}
         for start in range(0, len(missing), 10_000):
@@ -120,11 +122,6 @@ class Tokenizers:
         return found
 
 
-def ok(chunk: str) -> bool:
-    """Whether the ends of a chunk are no white space of any kind."""
-    return not (chunk[0].isspace() or chunk[-1].isspace())
-
-
 def overlaps(doc_a, start_a, doc_b, start_b) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of tokens (numbers in a and b) that share a byte, some twice; starts rise throughout."""
     left = pd.DataFrame({"doc": doc_a, "start": start_a, "a": np.arange(len(start_a))})
@@ -148,9 +145,11 @@ class Block:
         starts = [e - size[i] for e, size, i in zip(ends, known.sizes, self.ids)]
         a, b = overlaps(self.docs[0], starts[0], self.docs[1], starts[1])
         equal = ends[0][a] == ends[1][b]
-        closing = [np.unique(x[equal]) for x in (a, b)]  # the last tokens of groups
-        self.groups = [np.searchsorted(c, np.arange(len(i))) for c, i in zip(closing, self.ids)]
-        self.n = len(closing[0])
+        closing = [np.zeros(len(i), bool) for i in self.ids]  # the last tokens of groups
+        for last, tokens in zip(closing, (a, b)):
+            last[tokens[equal]] = True
+        self.groups = [np.cumsum(last) - last for last in closing]
+        self.n = int(closing[0].sum())
         self.sizes = [np.bincount(g, minlength=self.n) for g in self.groups]
         self.doc_of = self.docs[0][closing[0]]
 
