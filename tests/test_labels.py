@@ -71,7 +71,8 @@ def test_dedupe_keeps_one_row_either_way(build, by_interval):
     assert labels(build, dedupe=True, by_interval=by_interval) == [0]
 
 
-def test_repeated_utilization_is_not_one_task(spark, no_broadcast):
+@pytest.mark.parametrize("by_interval", [False, True])
+def test_repeated_utilization_is_not_one_task(spark, no_broadcast, by_interval):
     """Nine tenths of all utilization rows on one asset-day: adaptive execution can split them."""
     conf = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
@@ -102,7 +103,7 @@ def test_repeated_utilization_is_not_one_task(spark, no_broadcast):
             F.lit(at(11)).alias("starttime"),
             F.lit("Delay").alias("kind"),
         )
-        found = build_matrix(readings, used, events).select("*", F.spark_partition_id().alias("task"))
+        found = build_matrix(readings, used, events, by_interval=by_interval).select("*", F.spark_partition_id().alias("task"))
         sizes = Counter(found.toArrow().column("task").to_pylist())
         assert sum(sizes.values()) == 200_000 and max(sizes.values()) < 60_000
     finally:

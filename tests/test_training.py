@@ -8,7 +8,7 @@ from upkeep.learning.catalogue import candidates, f1_evaluator, stages
 from upkeep.learning.search import assembled, grid_scores, model_name, search, vectors
 from upkeep.operators.bayes import naive_bayes_parameters
 from upkeep.operators.metrics import best, confusion_counts, preview, rank, weighted_f1
-from upkeep.operators.splits import split_keys, split_rows, with_key_fold, with_row_fold
+from upkeep.operators.splits import numbered_rows, split_and_fold, split_keys, split_rows, with_key_fold, with_row_fold
 from upkeep.plans.chain import (
     run_all,
     score_requests,
@@ -23,8 +23,8 @@ from upkeep.plans.training import train_and_rank
 from upkeep.registry import standins
 from upkeep.registry.queries import _features, _matrix
 from upkeep.schemas import MODEL_SCORES
-from upkeep.sources.models import load_model, read_runs, save_model
-from upkeep.streaming.scoring import arriving_features, reject_stream, score_stream
+from upkeep.sources.models import Settings, TrainedPipeline, load_model, read_runs, save_model, settings_of
+from upkeep.streaming.scoring import arriving_features, reject_stream, score_and_reject_stream, score_stream
 from upkeep.workspace import stabilise
 
 
@@ -138,6 +138,29 @@ class TestSplits:
         assert train.count() + validation.count() == 1000 and 650 < train.count() < 750
 
 
+    def test_very_many_copies_are_numbered_by_several_tasks(self, spark):
+        frame = spark.range(30_000_000).select(F.lit(1.5).alias("x")).unionByName(spark.range(5).select(F.lit(2.5).alias("x")))
+        found = numbered_rows(frame).where("x = 1.5")
+        tasks = found.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.sum("copy").alias("s"), F.max("copy").alias("m"))
+        tasks = tasks.collect()
+        n = 30_000_000
+        assert sum(t.n for t in tasks) == n and sum(t.s for t in tasks) == n * (n + 1) // 2 and max(t.m for t in tasks) == n
+        assert len(tasks) >= 4 and max(t.n for t in tasks) < 0.5 * n
+
+    @pytest.mark.parametrize("block", [1, 3, 1000])
+    def test_blocks_do_not_change_the_numbers(self, spark, block):
+        frame = spark.range(100).select((F.col("id") % 7).alias("x"), F.lit("y").alias("block"))
+        want = [(x, "y", k + 1) for x in range(7) for k in range(len(range(x, 100, 7)))]
+        assert rows(numbered_rows(frame, block=block)) == sorted(want, key=repr)
+
+    def test_part_and_fold_come_from_one_numbering(self, matrix):
+        drawn = split_and_fold(matrix, 3)
+        assert rows(drawn.where("in_train").drop("in_train", "fold")) == rows(split_rows(matrix)[0])
+        assert rows(drawn.drop("in_train")) == rows(with_row_fold(matrix, 3))
+        plan = drawn._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Aggregate") == 2  # the numbering, and its way for heavy rows
+
+
 class TestTraining:
     def chosen(self):
         return candidates({"Naive Bayes": {"smoothing": [0.0, 1.0]}, "Decision Tree": {"maxDepth": [2]}})
@@ -235,6 +258,46 @@ class TestScoring:
         assert rows(spark.read.parquet(rejects)) == rows(unscorable(self.broken(matrix), model))
         assert spark.read.parquet(sink).count() + spark.read.parquet(rejects).count() == matrix.count()
 
+    def test_one_stream_splits_rows_and_survives_a_replay(self, spark, matrix, model, tmp_path):
+        landing, sink, rejects, progress = (str(tmp_path / n) for n in ("landing", "sink", "rejects", "progress"))
+        broken = self.broken(matrix).drop("label")
+        schema = schemas.matrix(matrix.schema["aircraftid"].dataType, labelled=False)
+
+        def run():
+            stream = arriving_features(spark, landing, schema, files_per_batch=1)
+            score_and_reject_stream(stream, model, sink, rejects, progress).awaitTermination()
+
+        early = F.col("date") < F.lit(day(15))
+        broken.where(early).repartition(2).write.parquet(landing)
+        run()
+        (tmp_path / "progress" / "commits" / "1").unlink()  # as if the driver had died before it noted the batch
+        (tmp_path / "progress" / "commits" / ".1.crc").unlink()
+        broken.where(~early).coalesce(1).write.mode("append").parquet(landing)
+        run()
+        good, bad = (spark.read.parquet(p).drop("batch") for p in (sink, rejects))
+        assert rows(good) == rows(score(broken, model)) and rows(bad) == rows(unscorable(broken, model))
+        assert good.count() + bad.count() == matrix.count()
+
+    def test_settings_are_kept_with_the_model(self, spark, matrix, model, tmp_path):
+        assert settings_of(model) == Settings()
+        chosen = Settings(30, "34AB", ("Delay", "Safety"))
+        path = save_model(TrainedPipeline(model.stages, chosen), str(tmp_path / "model"))
+        found = load_model(path)
+        assert found.settings == chosen
+        assert {r.verdict.split(" for the ")[-1].split(" in the ")[-1] for r in score(matrix, found).collect()} == {"next 30 days"}
+        plain = str(tmp_path / "plain")
+        model.write().save(plain)  # saved without settings
+        assert load_model(plain).settings == Settings()
+
+    def test_training_takes_the_settings_of_the_stored_matrix(self, spark, tables, tmp_path):
+        events = standins.events(spark, tables)
+        parts = standins.readings(events), standins.utilization(events), standins.interruptions(events)
+        chosen = {"subsystem": standins.SUBSYSTEM, "kinds": standins.KINDS, "horizon": 14}
+        schema = store_matrix(*parts, str(tmp_path), **chosen)
+        train_stored(spark, str(tmp_path), [bayes()], schema=schema)
+        assert load_model(f"{tmp_path}/best_model").settings == Settings(14, str(standins.SUBSYSTEM), standins.KINDS)
+        assert load_model(f"{tmp_path}/Naive Bayes").settings.horizon == 14
+
     def test_saved_model_holds_assembler_and_classifier(self, matrix, tmp_path):
         fitted = bayes().estimator.fit(vectors(matrix))
         path = save_model(assembled(fitted), str(tmp_path / "model"))

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model, PipelineModel
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upkeep.defaults import FEATURES, FOLDS, LABEL, SEED
+from upkeep.defaults import FEATURES, FOLDS, LABEL
 from upkeep.learning.catalogue import Candidate, assembler, f1_evaluator
 from upkeep.schemas import GRID_SCORES
 
@@ -46,25 +48,33 @@ def search(
     *,
     label: str = LABEL,
     folds: int = FOLDS,
-    seed: int = SEED,
     parallelism: int = 4,
     fold_column: str = "fold",
 ) -> CrossValidatorModel:
     """Try every grid point on ``folds`` folds and refit the best on all of ``train``.
 
     ``train`` holds vectors, see ``vectors``: they are assembled once, not in each fit. Folds are
-    read from ``fold_column``.
+    read from ``fold_column``; nothing of them is copied, so searches that run at once share the
+    caller's cached ``train``. ``parallelism`` fits run at once, over all points and folds.
     """
-    validator = CrossValidator(
-        estimator=candidate.estimator,
-        estimatorParamMaps=candidate.param_maps(),
-        evaluator=f1_evaluator(label),
-        numFolds=folds,
-        seed=seed,
-        parallelism=parallelism,
-        foldCol=fold_column,
-    )
-    return validator.fit(train)
+    points, evaluator = candidate.param_maps(), f1_evaluator(label)
+    present = {r[0] for r in train.select(fold_column).distinct().collect()}
+    for fold in range(folds):
+        if fold not in present or present == {fold}:
+            raise ValueError(f"the rows of fold {fold}, or those beside it, are empty")
+
+    def tried(task: tuple[int, int]) -> float:
+        point, fold = task
+        held = F.col(fold_column) == fold
+        model = candidate.estimator.fit(train.where(~held), points[point])
+        return evaluator.evaluate(model.transform(train.where(held)))
+
+    tasks = [(point, fold) for point in range(len(points)) for fold in range(folds)]
+    with ThreadPool(max(1, min(parallelism, len(tasks)))) as pool:
+        scores = pool.map(inheritable_thread_target(train.sparkSession)(tried), tasks, chunksize=1)
+    means = [sum(scores[k * folds : (k + 1) * folds]) / folds for k in range(len(points))]
+    best = max(range(len(points)), key=means.__getitem__)  # the first of equals
+    return CrossValidatorModel(candidate.estimator.fit(train, points[best]), avgMetrics=means)
 
 
 def as_text(params: Mapping) -> dict[str, str]:

@@ -18,6 +18,8 @@ from upkeep.operators.daily import JOIN_KEYS
 
 # Copies of one row that a task emits in a row; more are spread over tasks.
 BLOCK = 100_000
+# Adds columns to labelled rows and keeps the named ones: (rows, *names) to rows.
+Completion = Callable[..., DataFrame]
 
 
 def qualifying(
@@ -134,24 +136,30 @@ def label_by_interval(
     horizon: int = HORIZON_DAYS,
     dedupe: bool = False,
     block: int = BLOCK,
+    complete: Completion | None = None,
 ) -> DataFrame:
     """Label rows through the interval join; suits horizons too long to write out day by day.
 
+    ``complete`` adds columns after that join, see ``label_by_day``.
+
     Start days with more matches than a block go a second way, see ``label_by_day``. With
     ``dedupe`` a row stays one row however many interruptions match.
     """
     starts = counts_by_start(interruptions)
+    complete = complete or (lambda df, *kept: df)
     if dedupe:
         parts = (("left_semi", 1), ("left_anti", 0))
         due, clear = (
             interval_join(rows, starts, horizon, how).withColumn(LABEL, F.lit(label)) for how, label in parts
         )
-        return due.unionByName(clear)
+        return complete(due.unionByName(clear), LABEL)
     heavy = starts.where(F.col("matches") > block).hint("rebalance")
-    columns = [*rows.columns, "starttime"]
-    first = _first_block(interval_join(rows, starts, horizon), columns, block)
-    further = _further_blocks(interval_join(rows, heavy, horizon, "inner"), columns, block)
-    return first.unionByName(further).select(*rows.columns, LABEL)
+    kept = ("starttime", "matches")
+    joined = complete(interval_join(rows, starts, horizon), *kept)
+    columns = [c for c in joined.columns if c != "matches"]
+    first = _first_block(joined, columns, block)
+    further = _further_blocks(complete(interval_join(rows, heavy, horizon, "inner"), *kept), columns, block)
+    return first.unionByName(further).select(*[c for c in columns if c != "starttime"], LABEL)
 
 
 def label_by_day(
@@ -161,11 +169,11 @@ def label_by_day(
     horizon: int = HORIZON_DAYS,
     dedupe: bool = False,
     block: int = BLOCK,
-    complete: Callable[[DataFrame], DataFrame] | None = None,
+    complete: Completion | None = None,
 ) -> DataFrame:
     """Label rows through an equality join on asset and day.
 
-    ``complete`` adds columns to the rows after the join and has to keep their ``matches``. A join
+    ``complete`` adds columns to the rows after the join and has to keep those it is given. A join
     that repeats a key belongs there: before it, both sides of the label join hold one row per
     key, so that no key is one task's burden.
 
@@ -178,12 +186,12 @@ def label_by_day(
     the whole branch where there are none.
     """
     matches = counts_by_day(interruptions, horizon)
-    complete = complete or (lambda df: df)
-    joined = complete(rows.join(matches, list(JOIN_KEYS), "left"))
+    complete = complete or (lambda df, *kept: df)
+    joined = complete(rows.join(matches, list(JOIN_KEYS), "left"), "matches")
     columns = [c for c in joined.columns if c != "matches"]
     if dedupe:
         return joined.select(*columns, _label())
     heavy = matches.where(F.col("matches") > block).hint("rebalance")
     first = _first_block(joined, columns, block)
-    further = _further_blocks(complete(rows.join(heavy, list(JOIN_KEYS), "inner")), columns, block)
+    further = _further_blocks(complete(rows.join(heavy, list(JOIN_KEYS), "inner"), "matches"), columns, block)
     return first.unionByName(further).select(*columns, LABEL)

@@ -13,16 +13,37 @@ from upkeep.functions.keys import key_bucket
 
 # Buckets of a row split: shares are exact to one in so many.
 BUCKETS = 10_000
+# Copies of one row that a task numbers in a row; more are spread over tasks.
+BLOCK = 100_000
 
 
-def numbered_rows(df: DataFrame, column: str = "copy") -> DataFrame:
+def numbered_rows(df: DataFrame, column: str = "copy", block: int = BLOCK) -> DataFrame:
     """Rows with a running number among equal ones.
 
     Equal rows are counted before they are shuffled and repeated afterwards, so that a row with
-    very many copies is one row on its way.
+    very many copies is one row on its way. A task numbers ``block`` copies of a row at once;
+    further blocks go a second way, in which each is a row of its own that any task may take.
     """
     counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(column))
-    return counted.withColumn(column, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(column))))
+    n, one = F.col(column), F.lit(1).cast("bigint")
+    numbered = lambda first, last: F.explode(F.sequence(first, last))
+    first = counted.withColumn(column, numbered(one, F.least(n, F.lit(block).cast("bigint"))))
+    number = fresh_name(df, "block")
+    heavy = counted.where(n > block).hint("rebalance")
+    blocks = heavy.withColumn(number, numbered(one, F.floor((n - 1) / block)))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks.repartition(tasks, *[c for c in df.columns], number)
+    low = F.col(number) * block
+    further = blocks.withColumn(column, numbered(low + 1, F.least(n, low + block))).drop(number)
+    return first.unionByName(further)
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def _text(df: DataFrame, column: str) -> Column:
@@ -55,6 +76,19 @@ def with_row_fold(df: DataFrame, folds: int, seed: int = SEED, column: str = "fo
     return rows.withColumn(column, row_bucket(rows, folds, f"fold-{seed}")).drop("copy")
 
 
+def split_and_fold(
+    df: DataFrame, folds: int, weights: Sequence[float] = SPLIT, seed: int = SEED, part: str = "in_train", fold: str = "fold"
+) -> DataFrame:
+    """Rows with whether they are drawn for training, and a fold, both from one numbering of equal rows.
+
+    ``in_train`` is the draw of ``split_rows``; the fold is that of ``with_row_fold`` over all rows.
+    """
+    rows = numbered_rows(df)
+    share = F.lit(round(BUCKETS * weights[0] / sum(weights)))
+    drawn = (row_bucket(rows, BUCKETS, f"rows-{seed}") < share).alias(part)
+    return rows.select(*df.columns, drawn, row_bucket(rows, folds, f"fold-{seed}").alias(fold))
+
+
 def split_keys(
     df: DataFrame, share: float = SPLIT[0], keys: Sequence[str] = KEYS
 ) -> tuple[DataFrame, DataFrame]:

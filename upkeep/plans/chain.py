@@ -7,15 +7,17 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from upkeep.defaults import HORIZON_DAYS, KINDS, SUBSYSTEM
 from upkeep.learning.catalogue import Candidate
 from upkeep.plans.matrix import build_features, build_matrix
 from upkeep.plans.scoring import score
 from upkeep.plans.training import Ranking, train_and_rank
 from upkeep.sources.matrix import read_matrix, write_matrix
-from upkeep.sources.models import load_model
+from upkeep.sources.models import Settings, load_model
 
 # Where each step leaves its result, below the caller's folder.
 MATRIX = "training_data"
+SETTINGS = "training_settings"
 TO_PREDICT = "tuple_to_predict"
 BEST_MODEL = "best_model"
 
@@ -29,9 +31,12 @@ def store_matrix(
     fmt: str = "parquet",
     **options,
 ) -> T.StructType:
-    """First step: build the labelled matrix and store it."""
+    """First step: build the labelled matrix and store it, with what its labels mean."""
     matrix = build_matrix(readings, utilization, interruptions, **options)
     write_matrix(matrix, f"{folder}/{MATRIX}", fmt=fmt)
+    chosen = {"horizon": HORIZON_DAYS, "subsystem": SUBSYSTEM, "kinds": KINDS} | options
+    settings = Settings(chosen["horizon"], str(chosen["subsystem"]), tuple(chosen["kinds"]))
+    settings.save(readings.sparkSession, f"{folder}/{SETTINGS}")
     return matrix.schema
 
 
@@ -46,7 +51,8 @@ def train_stored(
 ) -> Ranking:
     """Second step: train on the stored matrix; keep every model, and the best as ``best_model``."""
     matrix = read_matrix(spark, f"{folder}/{MATRIX}", fmt=fmt, schema=schema)
-    return train_and_rank(matrix, catalogue, stored=True, models_path=folder, **options)
+    settings = Settings.load(spark, f"{folder}/{SETTINGS}")
+    return train_and_rank(matrix, catalogue, stored=True, models_path=folder, settings=settings, **options)
 
 
 def store_rows_to_score(

@@ -88,13 +88,9 @@ def build_matrix(
     ``by_interval`` joins on the interval and not day by day, for long horizons.
     """
     events = qualifying(interruptions, subsystem, kinds)
-    if by_interval:
-        features = build_features(readings, utilization, scale=scale)
-        return label_by_interval(features, events, horizon=horizon, dedupe=dedupe)
+    label = label_by_interval if by_interval else label_by_day
 
-    def with_utilization(labelled: DataFrame) -> DataFrame:
-        return rounded(join_utilization(labelled, utilization, "matches", apart=True), FEATURES, scale)
+    def with_utilization(labelled: DataFrame, *kept: str) -> DataFrame:
+        return rounded(join_utilization(labelled, utilization, *kept, apart=True), FEATURES, scale)
 
-    return label_by_day(
-        daily_means(readings), events, horizon=horizon, dedupe=dedupe, complete=with_utilization
-    )
+    return label(daily_means(readings), events, horizon=horizon, dedupe=dedupe, complete=with_utilization)

@@ -7,9 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from upkeep.defaults import FEATURES, HORIZON_DAYS, KEYS
+from upkeep.defaults import KEYS
 from upkeep.functions.columns import verdict
 from upkeep.learning.search import model_name
+from upkeep.sources.models import settings_of
 
 # Classifiers that take no negative features.
 NON_NEGATIVE = ("NaiveBayes",)
@@ -18,7 +19,7 @@ NON_NEGATIVE = ("NaiveBayes",)
 def problem(df: DataFrame, model: PipelineModel) -> Column:
     """Why the model cannot take a row, with the first column at fault; null if it can."""
     found = F.lit(None).cast("string")
-    for name in reversed(FEATURES):
+    for name in reversed(settings_of(model).features):
         c = F.col(name)
         if model_name(model) in NON_NEGATIVE:
             found = F.when(c < 0, F.lit(f"column {name} is negative")).otherwise(found)
@@ -30,21 +31,22 @@ def problem(df: DataFrame, model: PipelineModel) -> Column:
 
 def unscorable(features: DataFrame, model: PipelineModel) -> DataFrame:
     """The rows that ``score`` leaves out: keys, features and the problem. Also for a stream of rows."""
-    rows = features.select(*KEYS, *FEATURES, problem(features, model).alias("problem"))
+    rows = features.select(*KEYS, *settings_of(model).features, problem(features, model).alias("problem"))
     return rows.where(F.col("problem").isNotNull())
 
 
-def score(features: DataFrame, model: PipelineModel, horizon: int = HORIZON_DAYS) -> DataFrame:
+def score(features: DataFrame, model: PipelineModel) -> DataFrame:
     """Keys, features, model name, prediction and verdict, for a batch or a stream of rows.
 
     A row that the model cannot take does not end the job: it is left to ``unscorable``.
-    ``horizon`` is the one the model was trained on, for the verdict's text.
+    The verdict names the horizon that the model was trained on, see ``Settings``.
     """
+    settings = settings_of(model)
     rows = features.where(problem(features, model).isNull())
     return model.transform(rows).select(
         *KEYS,
-        *FEATURES,
+        *settings.features,
         F.lit(model_name(model)).alias("model_name"),
         "prediction",
-        verdict(F.col("prediction"), horizon).alias("verdict"),
+        verdict(F.col("prediction"), settings.horizon).alias("verdict"),
     )

@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import PipelineModel
 from pyspark.ml.tuning import CrossValidatorModel
 from pyspark.sql import DataFrame
 
@@ -16,10 +15,10 @@ from upkeep.defaults import FEATURES, FOLDS, LABEL, RUN_NAME, SEED
 from upkeep.learning.catalogue import Candidate, candidates, f1_evaluator
 from upkeep.learning.search import PARTITIONS, as_text, assembled, grid_scores, search, vectors
 from upkeep.operators.metrics import best, rank
-from upkeep.operators.splits import split_keys, split_rows, with_key_fold, with_row_fold
+from upkeep.operators.splits import split_and_fold, split_keys, with_key_fold
 from upkeep.operators.validity import require_trainable
 from upkeep.schemas import MODEL_SCORES
-from upkeep.sources.models import append_runs, save_model
+from upkeep.sources.models import Settings, TrainedPipeline, append_runs, save_model
 from upkeep.workspace import discard, stabilise
 
 
@@ -29,11 +28,11 @@ class Ranking:
 
     scores: DataFrame
     grid_scores: DataFrame
-    models: dict[str, PipelineModel]
+    models: dict[str, TrainedPipeline]
     best_name: str | None
 
     @property
-    def best_model(self) -> PipelineModel | None:
+    def best_model(self) -> TrainedPipeline | None:
         return self.models[self.best_name] if self.best_name is not None else None
 
     @property
@@ -56,18 +55,21 @@ def train_and_rank(
     runs_path: str | None = None,
     run_name: str = RUN_NAME,
     partitions: int = PARTITIONS,
+    settings: Settings | None = None,
 ) -> Ranking:
     """Train and rank ``catalogue`` (all six classifiers on their full grids by default).
 
     ``by_key`` splits rows and folds by asset-day, so that copies of a row never lie on both
-    sides. ``concurrent`` classifiers are searched at once, and ``parallelism`` grid points of
-    each; every search caches its folds, so raise them as memory allows. ``partitions`` is how
+    sides. ``concurrent`` classifiers are searched at once, and ``parallelism`` fits of each; the
+    rows are cached once for all of them. ``partitions`` is how
     many the rows are trained in. ``stored`` says that ``matrix`` is read straight from files; any
     other matrix is computed once, into shared storage, and removed after the training.
 
+    ``settings`` say how the matrix was labelled; every model carries them, with its features.
     With ``models_path`` every model is saved under its name, and the best as ``best_model``.
     """
     spark = matrix.sparkSession
+    settings = replace(settings or Settings(), features=tuple(features))
     catalogue = candidates(seed=seed) if catalogue is None else list(catalogue)
     needs_non_negative = any(c.name == "Naive Bayes" for c in catalogue)
 
@@ -77,17 +79,17 @@ def train_and_rank(
     if by_key:
         train, validation = split_keys(with_key_fold(matrix, folds))
     else:
-        train, validation = split_rows(matrix, seed=seed)
-        train = with_row_fold(train, folds, seed)
+        drawn = stabilise(split_and_fold(matrix, folds, seed=seed))
+        train, validation = drawn.where("in_train"), drawn.where("not in_train")
     train = vectors(train, features, LABEL, "fold", partitions=partitions).persist(StorageLevel.MEMORY_AND_DISK)
     validation = vectors(validation, features, LABEL, partitions=partitions).persist(StorageLevel.MEMORY_AND_DISK)
 
     evaluator = f1_evaluator()
 
-    def try_candidate(candidate: Candidate) -> tuple[CrossValidatorModel, PipelineModel, float, str | None]:
-        searched = search(candidate, train, folds=folds, seed=seed, parallelism=parallelism)
+    def try_candidate(candidate: Candidate) -> tuple[CrossValidatorModel, TrainedPipeline, float, str | None]:
+        searched = search(candidate, train, folds=folds, parallelism=parallelism)
         f1 = evaluator.evaluate(searched.bestModel.transform(validation))
-        model = assembled(searched.bestModel, features)
+        model = TrainedPipeline(assembled(searched.bestModel, features).stages, settings)
         path = f"{models_path}/{candidate.name}" if models_path else None
         return searched, model, f1, save_model(model, path) if path else None
 
@@ -97,6 +99,8 @@ def train_and_rank(
     finally:
         train.unpersist()
         validation.unpersist()
+        if not by_key:
+            discard(drawn)
         if not stored:
             discard(matrix)
 

@@ -202,16 +202,22 @@ _FITTED = (*_MATRIX, _TRAIN, _bayes("train", "nb"))
 _COLUMNS = ", ".join(FEATURES)
 
 
-def _scored(source: str) -> str:
+def _days(part: str, horizon: int) -> str:
+    """A part of a query with the default horizon, for another one."""
+    return part.replace(f"between 0 and {HORIZON_DAYS - 1}", f"between 0 and {horizon - 1}")
+
+
+def _scored(source: str, labels: int = HORIZON_DAYS, said: int = HORIZON_DAYS) -> str:
+    """Predictions of naive Bayes trained on labels of one horizon, with verdicts that name another."""
     return _with(
-        *_FITTED,
+        *[_days(part, labels) for part in _FITTED],
         REQUESTS,
         source,
         _bayes_predict("rows", "nb", "predicted", f"date, aircraftid, {_COLUMNS}"),
         select=f"""
 select date, aircraftid, {_COLUMNS}, 'NaiveBayes' as model_name,
        cast(prediction as double) as prediction,
-       case when prediction = 0 then '{VERDICT_CLEAR}' else '{VERDICT_DUE}' end as verdict
+       case when prediction = 0 then '{CLEAR.format(days=said)}' else '{DUE.format(days=said)}' end as verdict
 from predicted""",
     )
 
@@ -389,15 +395,16 @@ from matrix"""
                 *_MATRIX,
                 select=f"""select '{name}' as Model, label, count(*) filter ({_IN_TRAIN}) as train_rows,
                 count(*) filter (not ({_IN_TRAIN})) as validation_rows,
-                count(*) filter (not ({_IN_TRAIN})) as scored_rows, true as f1_equal from matrix group by label""",
+                count(*) filter (not ({_IN_TRAIN})) as scored_rows, true as f1_equal, true as {'as_expression' if trees else 'optimal'}
+                from matrix group by label""",
+            )
+            for key, name, trees in (
+                ("clf_decision_tree", "Decision Tree", True),
+                ("clf_random_forest", "Random Forest", True),
+                ("clf_logistic", "Logistic Regression", False),
+                ("clf_gbt", "Gradient-Boosted Trees", True),
+                ("clf_linear_svc", "Linear SVC", False),
             )
-            for key, name in {
-                "clf_decision_tree": "Decision Tree",
-                "clf_random_forest": "Random Forest",
-                "clf_logistic": "Logistic Regression",
-                "clf_gbt": "Gradient-Boosted Trees",
-                "clf_linear_svc": "Linear SVC",
-            }.items()
         },
         "cv_scores": _cv(),
         "leaderboard_order": _with(
@@ -406,7 +413,26 @@ from matrix"""
             select=f"""select Model, {_round('f1', 9)} as known_score, true as in_order
             from (values {_MODELS}) m(Model) left join nb_f1 using (Model)""",
         ),
-        "score_bad_rows": _with(
+        "tree_root_split": _with(
+            *_MATRIX,
+            """
+values_ as (
+  select cast(flightcycles as double) as value, count(*) filter (where not delayedminutes > 0) as zeros,
+         count(*) filter (where delayedminutes > 0) as ones from matrix group by 1),
+sums as (
+  select (value + lead(value) over (order by value)) / 2 as threshold, sum(zeros) over (order by value) as left_0,
+         sum(ones) over (order by value) as left_1, sum(zeros) over () as all_0, sum(ones) over () as all_1 from values_),
+sides as (select *, all_0 - left_0 as right_0, all_1 - left_1 as right_1, left_0 + left_1 as l, all_0 + all_1 as n from sums),
+gains as (
+  select *, 1 - pow(all_0 / n, 2) - pow(all_1 / n, 2) - l / n * (1 - pow(left_0 / l, 2) - pow(left_1 / l, 2))
+         - (n - l) / n * (1 - pow(right_0 / (n - l), 2) - pow(right_1 / (n - l), 2)) as gain
+  from sides where threshold is not null),
+""",
+            select=f"""select threshold, {_round('gain', 9)} as gain, cast(left_0 as bigint) as left_0,
+            cast(left_1 as bigint) as left_1, cast(right_0 as bigint) as right_0, cast(right_1 as bigint) as right_1,
+            true as exact_agrees from gains order by gain desc, threshold limit 1""",
+        ),
+        **{key: _with(
             *_FITTED,
             """
 broken as (
@@ -421,7 +447,7 @@ judged as (
             _bayes_predict("rows", "nb", "predicted", "date, aircraftid"),
             select="""select date, aircraftid, problem, null::double as prediction from judged where problem is not null
             union all select date, aircraftid, null, cast(prediction as double) from predicted""",
-        ),
+        ) for key in ("score_bad_rows", "score_stream_split")},
         "end_to_end_all": _with(
             *_FEATURES,
             REQUESTS,
@@ -430,7 +456,9 @@ judged as (
         ),
         "score_batch": scored,
         "end_to_end": scored,
+        "end_to_end_horizon": _scored(_REQUESTED, 30, 30),
         "score_stream": _scored(_numbered("features", "rows")),
+        "score_stream_horizon": _scored(_numbered("features", "rows"), said=30),
         "run_log": _with(
             *validation_confusion,
             _f1("predicted", "nb_f1", "Model"),

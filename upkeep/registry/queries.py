@@ -17,11 +17,14 @@ from upkeep.defaults import FEATURES, FOLDS, KEYS, LABEL, SMALL_GRIDS
 from upkeep.functions.columns import rounded
 from upkeep.functions.columns import verdict as verdict_text
 from upkeep.learning.catalogue import assembler, candidates, f1_evaluator, stages
+from upkeep.learning.expressions import prediction_column
 from upkeep.learning.search import grid_scores, search, vectors
 from upkeep.operators import metrics
 from upkeep.operators.bayes import naive_bayes_parameters
 from upkeep.operators.daily import daily_means, daily_readings, join_utilization
 from upkeep.operators.labels import lead_day_counts, qualifying
+from upkeep.operators.optimality import linear_residuals
+from upkeep.operators.splitpoints import best_split
 from upkeep.operators.splits import split_keys, split_rows, with_key_fold, with_row_fold
 from upkeep.operators.validity import feature_validity as validity_report
 from upkeep.operators.validity import require_trainable
@@ -32,9 +35,9 @@ from upkeep.plans.scoring import score, unscorable
 from upkeep.plans.training import train_and_rank
 from upkeep.registry import standins
 from upkeep.sources.matrix import read_matrix, write_matrix
-from upkeep.sources.models import load_model, read_runs, save_model
+from upkeep.sources.models import Settings, TrainedPipeline, load_model, read_runs, save_model
 from upkeep.sources.readings import read_readings
-from upkeep.streaming.scoring import arriving_features, score_stream as start_scoring
+from upkeep.streaming.scoring import arriving_features, score_and_reject_stream, score_stream as start_scoring
 from upkeep.workspace import scratch, stabilise
 
 EXACT = 9  # decimals compared of computed doubles
@@ -348,17 +351,17 @@ def _parts(spark, folder) -> tuple[DataFrame, DataFrame]:
     return split_keys(matrix)
 
 
-def _fitted(spark, folder, name) -> tuple[list[tuple[int, int]], DataFrame]:
-    """A classifier at one point of its grid: the rows it has seen, and its predictions."""
+def _fitted(spark, folder, name) -> tuple[Model, DataFrame, DataFrame, list[tuple[int, int]]]:
+    """A classifier at one point of its grid: the model, train and validation rows, and the rows it has seen."""
     train, validation = _parts(spark, folder)
     (candidate,) = candidates(SMALL_GRIDS, [name])
-    train = vectors(train).cache()
+    rows = vectors(train).cache()
     try:
-        model = candidate.estimator.fit(train, candidate.param_maps()[0])
-        seen = _rows_seen(model, train)
+        model = candidate.estimator.fit(rows, candidate.param_maps()[0])
+        seen = _rows_seen(model, rows)
     finally:
-        train.unpersist()
-    return seen, model.transform(vectors(validation))
+        rows.unpersist()
+    return model, train, validation, seen
 
 
 def _rows_seen(model: Model, train: DataFrame) -> list[tuple[int, int]]:
@@ -383,25 +386,40 @@ def _classifier(name):
     """By label: rows the model was fitted on, validation rows and those with a prediction.
 
     ``f1_equal`` tells whether the aggregation and Spark's evaluator agree on the predictions.
+    ``as_expression`` tells of a model with trees whether its trees, written as one expression,
+    predict the same for every validation row, and ``optimal`` of a linear model whether the slopes
+    of its loss at the fitted coefficients are below a thousandth of the steepest one at zero.
     """
 
     def run(spark, folder):
-        seen, predictions = _fitted(spark, folder, name)
-        predictions = stabilise(predictions.select(LABEL, "prediction"))
+        model, train, validation, seen = _fitted(spark, folder, name)
+        predictions, check = model.transform(vectors(validation)), F.bool_and(F.col("expressed") == F.col("prediction"))
+        expressed = F.lit(None).cast("double")
+        if name in TREES:
+            values = vector_to_array("features")
+            expressed = prediction_column(model, [values[i] for i in range(len(FEATURES))])
+        else:
+            slopes = linear_residuals(train, model, edge=0.001).agg(F.max("residual"), F.max("start")).first()
+            check = F.lit(slopes[0] <= 1e-3 * slopes[1])
+        predictions = stabilise(predictions.select(LABEL, "prediction", expressed.alias("expressed")))
         f1 = metrics.weighted_f1(metrics.confusion_counts(predictions)).first().f1
         equal = abs(f1 - f1_evaluator().evaluate(predictions)) < 1e-9
         scored = F.count_if(F.col("prediction").isin(0.0, 1.0))
         counts = predictions.groupBy(LABEL).agg(
-            F.count(F.lit(1)).alias("validation_rows"), scored.alias("scored_rows")
+            F.count(F.lit(1)).alias("validation_rows"),
+            scored.alias("scored_rows"),
+            check.alias("as_expression" if name in TREES else "optimal"),
         )
         trained = spark.createDataFrame(seen, f"{LABEL} int, train_rows long")
         return trained.join(counts, LABEL, "full").select(
-            F.lit(name).alias("Model"), LABEL, "train_rows", "validation_rows", "scored_rows", F.lit(equal).alias("f1_equal")
+            F.lit(name).alias("Model"), LABEL, "train_rows", "validation_rows", "scored_rows", F.lit(equal).alias("f1_equal"), counts.columns[-1]
         )
 
     return run
 
 
+TREES = ("Decision Tree", "Random Forest", "Gradient-Boosted Trees")
+
 for _key, _name in {
     "clf_decision_tree": "Decision Tree",
     "clf_random_forest": "Random Forest",
@@ -412,10 +430,30 @@ for _key, _name in {
     _queries[_key] = _classifier(_name)
 
 
+@query
+def tree_root_split(spark, folder):
+    # Does a count of cycles tell of a delay? A tree of depth 1: threshold, leaves, and whether the exact search agrees.
+    matrix = _matrix(standins.events(spark, folder)).withColumn(LABEL, (F.col("delayedminutes") > 0).cast("int"))
+    matrix = stabilise(matrix)
+    (candidate,) = candidates(SMALL_GRIDS, ["Decision Tree"])
+    tree = candidate.estimator.copy({candidate.estimator.maxDepth: 1, candidate.estimator.maxBins: 1024})
+    root = tree.fit(vectors(matrix, ["flightcycles"]))._java_obj.rootNode()
+    leaves = [[int(n) for n in node.impurityStats().stats()] for node in (root.leftChild(), root.rightChild())]
+    names = ["threshold", "gain", "left_0", "left_1", "right_0", "right_1"]
+    fitted = [(float(root.split().threshold()), round(float(root.gain()), EXACT), *leaves[0], *leaves[1])]
+    model = spark.createDataFrame(fitted, "threshold double, gain double, left_0 long, left_1 long, right_0 long, right_1 long")
+    exact = best_split(matrix, ["flightcycles"]).select("threshold", F.round("gain", EXACT).alias("gain"), *names[2:])
+    same = exact.select(*[F.col(c).alias(f"exact_{c}") for c in names])
+    agrees = F.forall(F.array(*[F.col(c) == F.col(f"exact_{c}") for c in names]), lambda x: x)
+    return model.join(same, model["threshold"] == same["exact_threshold"], "left").select(
+        *names, F.coalesce(agrees, F.lit(False)).alias("exact_agrees")
+    )
+
+
 @query
 def clf_naive_bayes(spark, folder):
-    _, predictions = _fitted(spark, folder, "Naive Bayes")
-    return metrics.confusion_counts(predictions).select(
+    model, _, validation, _ = _fitted(spark, folder, "Naive Bayes")
+    return metrics.confusion_counts(model.transform(vectors(validation))).select(
         F.lit("Naive Bayes").alias("Model"), "label", "prediction", "n"
     )
 
@@ -459,23 +497,28 @@ def leaderboard_order(spark, folder):
     return spark.createDataFrame(rows, "Model string, known_score double, in_order boolean")
 
 
-def _saved_bayes(spark, folder) -> str:
+def _saved_bayes(spark, folder, settings: Settings = Settings()) -> str:
     train, _ = _parts(spark, folder)
     (candidate,) = candidates(SMALL_GRIDS, ["Naive Bayes"])
-    return save_model(stages(candidate).fit(train), scratch(spark, "model"))
+    fitted = TrainedPipeline(stages(candidate).fit(train).stages, settings)
+    return save_model(fitted, scratch(spark, "model"))
 
 
-@query
-def score_bad_rows(spark, folder):
-    # Some assets without a sensor mean, some with negative hours: they are told apart, not fatal.
-    features = _features(standins.events(spark, folder))
+def _broken(spark, folder) -> DataFrame:
+    """Feature rows, some assets without a sensor mean and some with negative hours."""
     asset = F.col("aircraftid")
-    broken = features.withColumns(
+    return _features(standins.events(spark, folder)).withColumns(
         {
             "sensor_mean_value": F.when(asset % 7 != 0, F.col("sensor_mean_value")),
             "flighthours": F.when(asset % 5 == 0, -1.0 - F.col("flighthours")).otherwise(F.col("flighthours")),
         }
     )
+
+
+@query
+def score_bad_rows(spark, folder):
+    # Bad rows are told apart, not fatal.
+    broken = _broken(spark, folder)
     model = load_model(_saved_bayes(spark, folder))
     good = score(broken, model).select(*KEYS, F.lit(None).cast("string").alias("problem"), "prediction")
     bad = unscorable(broken, model).select(*KEYS, "problem", F.lit(None).cast("double").alias("prediction"))
@@ -504,6 +547,30 @@ def score_stream(spark, folder):
     return spark.read.parquet(sink)
 
 
+@query
+def score_stream_horizon(spark, folder):
+    # The verdict names the horizon that was saved with the model.
+    model = load_model(_saved_bayes(spark, folder, Settings(horizon=30)))
+    arrived, sink = scratch(spark, "arrived"), scratch(spark, "scored")
+    write_matrix(_features(standins.events(spark, folder)), arrived)
+    stream = arriving_features(spark, arrived, schemas.matrix(T.LongType(), labelled=False))
+    start_scoring(stream, model, sink, scratch(spark, "progress")).awaitTermination()
+    return spark.read.parquet(sink)
+
+
+@query
+def score_stream_split(spark, folder):
+    # One stream: each row is scored or rejected, never both.
+    model = load_model(_saved_bayes(spark, folder))
+    arrived, sink, rejects = (scratch(spark, n) for n in ("arrived", "scored", "rejected"))
+    write_matrix(_broken(spark, folder), arrived)
+    stream = arriving_features(spark, arrived, schemas.matrix(T.LongType(), labelled=False), files_per_batch=2)
+    score_and_reject_stream(stream, model, sink, rejects, scratch(spark, "progress")).awaitTermination()
+    good = spark.read.parquet(sink).select(*KEYS, F.lit(None).cast("string").alias("problem"), "prediction")
+    bad = spark.read.parquet(rejects).select(*KEYS, "problem", F.lit(None).cast("double").alias("prediction"))
+    return good.unionByName(bad)
+
+
 @query
 def run_log(spark, folder):
     runs = scratch(spark, "runs")
@@ -544,6 +611,22 @@ def end_to_end(spark, folder):
     )
 
 
+@query
+def end_to_end_horizon(spark, folder):
+    # Trained on labels 30 days ahead; the verdict says so.
+    events = standins.events(spark, folder)
+    return run_all(
+        standins.readings(events),
+        standins.utilization(events),
+        standins.interruptions(events),
+        scratch(spark, "chain"),
+        candidates(SMALL_GRIDS, ["Naive Bayes"]),
+        matrix_options={"subsystem": standins.SUBSYSTEM, "kinds": standins.KINDS, "horizon": 30},
+        training_options={"by_key": True},
+        requests=standins.requests(events),
+    )
+
+
 @query
 def end_to_end_all(spark, folder):
     # All six classifiers; SQL knows which rows are scored, not by which model.

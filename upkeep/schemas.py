@@ -53,3 +53,12 @@ def matrix(key: T.DataType = T.StringType(), labelled: bool = True) -> T.StructT
     if labelled:
         fields.append(T.StructField("label", T.IntegerType()))
     return T.StructType(fields)
+
+SETTINGS = T.StructType(
+    [
+        T.StructField("horizon", T.IntegerType()),
+        T.StructField("subsystem", T.StringType()),
+        T.StructField("kinds", T.ArrayType(T.StringType())),
+        T.StructField("features", T.ArrayType(T.StringType())),
+    ]
+)

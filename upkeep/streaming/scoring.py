@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -52,13 +53,48 @@ def reject_stream(
     return _append(unscorable(features, model), sink, checkpoint, interval)
 
 
+def score_and_reject_stream(
+    features: DataFrame,
+    model: PipelineModel,
+    sink: str,
+    rejects: str,
+    checkpoint: str,
+    *,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """One stream with two outputs: scored rows to ``sink``, rows the model cannot take to ``rejects``.
+
+    Every batch is read once and split, so each row is in exactly one of the two. A batch writes a
+    folder named by its number (column ``batch``) in each of them; one that is run again after a
+    failure replaces what it has left there.
+    """
+
+    def split(batch: DataFrame, number: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for rows, path in ((score(batch, model), sink), (unscorable(batch, model), rejects)):
+                rows.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        finally:
+            batch.unpersist()
+
+    return (
+        features.writeStream.foreachBatch(split)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(interval))
+        .start()
+    )
+
+
+def _trigger(interval: str | None) -> dict:
+    return {"processingTime": interval} if interval else {"availableNow": True}
+
+
 def _append(rows: DataFrame, sink: str, checkpoint: str, interval: str | None) -> StreamingQuery:
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
         rows.writeStream.format("parquet")
         .option("path", sink)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
-        .trigger(**trigger)
+        .trigger(**_trigger(interval))
         .start()
     )
