@@ -11,8 +11,9 @@ set that resembles nothing costs ``HALVES`` keys and not their square. Candidate
 two rounds. First every set of a bucket is compared with one of its members only, the one that
 meets most other sets: groups of copies join through it, however large. Then only pairs whose ends
 are still in different components are looked at, which is all that can change a component. A task
-compares them in steps and lets through those whose minhashes agree often enough; buckets above
-``CELL`` sets are dealt as pairs of blocks. Every candidate is confirmed on the full sets.
+compares the sets of a half key in place, those whose minhashes agree often enough on the full
+sets, and returns a forest of the links; half keys above ``CELL`` sets are dealt as pairs of
+blocks. Every link is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ SEED = 42
 #: Sets of a bucket that one task compares at once, pairs of one set that share a task, and
 #: shingles whose minhashes are computed in one step.
 CELL, PAIRS, STEP = 2048, 1024, 8192
+#: Binary logarithm of the bits that tell which texts are read again.
+BITS = 24
 
 
 def multipliers(count: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +146,7 @@ def text_hashes() -> list[Column]:
 
 
 def bucket_rows(nodes: DataFrame) -> DataFrame:
-    """(bucket, place, node, size): the tables' keys that several sets have. ``place`` tells the table."""
+    """(bucket, part, half, node, size): the tables' keys that several sets have, with their first half."""
 
     def halves(batches):
         for batch in batches:
@@ -166,8 +169,7 @@ def bucket_rows(nodes: DataFrame) -> DataFrame:
     shared = stored(shared.select("part", "half"), "shared-halves")  # so that adaptive execution can split the join
     pairs = firsts.join(shared, ["part", "half"], "left_semi")
     pairs = pairs.select("node", "part", "half", F.posexplode("seconds").alias("other", "second"))
-    place = (F.col("part") * HALVES + F.col("other")).alias("place")
-    keys = pairs.select(F.xxhash64("part", "half", "other", "second").alias("bucket"), place, "node")
+    keys = pairs.select(F.xxhash64("part", "half", "other", "second").alias("bucket"), "part", "half", "node")
     keys = stored(keys, "bucket-keys", compression="zstd")
     sizes = stored(keys.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "bucket-sizes")
     rows = stored(keys.join(sizes, "bucket"), "buckets", compression="zstd")
@@ -198,89 +200,165 @@ def agreeing(percent: int) -> int:
     return max(0, int(share * SIGNATURE - 5.5 * (share * (1 - share) * SIGNATURE) ** 0.5))
 
 
-def pairs_in_cells(rows: dict[str, np.ndarray], signature: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs between components that may be links, within each run of equal ``cell``.
+def pairs_in_cells(rows: dict[str, np.ndarray], signature: np.ndarray, percent: int):
+    """Yields index pairs of rows in different components that may be links, within runs of equal ``cell``.
 
-    ``rows`` are sorted by cell and root. A pair is taken in the first bucket that it shares only,
-    and only if its set sizes and minhashes allow the similarity. Rows of a cell that was dealt as
-    two blocks have side 0 and 1; only pairs across are taken there.
+    ``rows`` hold sets that share the first half key of table ``part``, sorted by cell. Pairs are
+    found by equal second half keys. One is taken in the first table that it shares only, and only
+    if its set sizes and minhashes allow the similarity. Rows of a cell that was dealt as two blocks
+    have side 0 and 1; only pairs across are taken there.
     """
-    cell, root, side, node, size, place = (rows[c] for c in ("cell", "root", "side", "node", "n_shingles", "place"))
-    n, least = len(cell), agreeing(percent)
-    new_cell = cell[1:] != cell[:-1]
-    ends = lambda new: np.append(np.flatnonzero(new) + 1, n)
-    end = np.repeat(ends(new_cell), np.diff(ends(new_cell), prepend=0))  # of each row's cell
-    runs = ends(new_cell | (root[1:] != root[:-1]))
-    here, other = np.arange(n), np.repeat(runs, np.diff(runs, prepend=0))  # first row of a later root
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    n, least = len(signature), agreeing(percent)
+    second = half_keys(signature)[:, HALVES:].ravel()
+    row, other_part = np.repeat(np.arange(n), HALVES), np.tile(np.arange(HALVES), n)
+    order = np.lexsort((rows["root"][row], second, other_part, rows["cell"][row]))
+    row, other_part, second = row[order], other_part[order], second[order]
+    cell, root = rows["cell"][row], rows["root"][row]
+    new = (cell[1:] != cell[:-1]) | (other_part[1:] != other_part[:-1]) | (second[1:] != second[:-1])
+    ends = lambda new: np.append(np.flatnonzero(new) + 1, len(row))
+    spread = lambda ends: np.repeat(ends, np.diff(ends, prepend=0))
+    end, other = spread(ends(new)), spread(ends(new | (root[1:] != root[:-1])))  # first row of a later root
+    here = np.arange(len(row))
     while True:
         inside = other < end[here]
         here, other = here[inside], other[inside]
         if not len(here):
-            return np.concatenate(left), np.concatenate(right)
-        low, high = np.minimum(size[here], size[other]), np.maximum(size[here], size[other])
-        fits = (100 * low >= percent * high) & ((side[here] < 0) | (side[here] != side[other]))
-        a, b = here[fits], other[fits]
-        for x, y in zip(np.array_split(a, len(a) // 50_000 + 1), np.array_split(b, len(a) // 50_000 + 1)):
+            return
+        for some in np.array_split(np.arange(len(here)), len(here) // 50_000 + 1):
+            x, y = row[here[some]], row[other[some]]
+            low, high = np.minimum(rows["size"][x], rows["size"][y]), np.maximum(rows["size"][x], rows["size"][y])
+            fits = (100 * low >= percent * high) & ((rows["side"][x] < 0) | (rows["side"][x] != rows["side"][y]))
+            x, y, last = x[fits], y[fits], other_part[here[some]][fits]
             same = signature[x] == signature[y]
             close = same.sum(1) >= least
-            x, y, same = x[close], y[close], same[close]
-            halves = same.reshape(len(x), 2, HALVES, ROWS).all(3)
+            x, y, last = x[close], y[close], last[close]
+            halves = same[close].reshape(len(x), 2, HALVES, ROWS).all(3)
             first = halves.argmax(2)  # of each collection the first half key that agrees
-            mine = halves.any(2).all(1) & (first[:, 0] * HALVES + first[:, 1] == place[x])
-            left.append(node[x[mine]])
-            right.append(node[y[mine]])
+            mine = (first[:, 0] == rows["part"][x]) & (first[:, 1] == last)
+            yield x[mine], y[mine]
         other = other + 1
 
 
-def further_pairs(nodes: DataFrame, buckets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Distinct (u, v) that share a bucket, lie in different components and may be similar enough."""
+def shared_counts(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many shingles the sets at ``x`` and ``y`` share, pair by pair."""
+    order = np.argsort(x, kind="stable")
+    found = np.zeros(len(x), np.int64)
+    for some in np.split(order, np.flatnonzero(np.diff(x[order])) + 1):
+        mine = sets[x[some[0]]]
+        for few in np.array_split(some, len(some) // 500 + 1):
+            others = [sets[i] for i in y[few]]
+            every = np.concatenate(others)
+            place = np.minimum(np.searchsorted(mine, every), len(mine) - 1)
+            sizes = np.cumsum([0, *map(len, others[:-1])])
+            found[few] = np.add.reduceat((mine[place] == every).astype(np.int64), sizes)
+    return found
+
+
+class Forest(dict):
+    """Joins nodes; ``add`` tells whether a link joined two trees."""
+
+    def top(self, node: int) -> int:
+        while node in self:
+            node = self[node]
+        return node
+
+    def add(self, u: int, v: int) -> bool:
+        u, v = self.top(u), self.top(v)
+        if u != v:
+            self[max(u, v)] = min(u, v)
+        return u != v
+
+
+def further_links(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, roots: DataFrame, percent: int, shingle: int) -> DataFrame:
+    """Links (u, v) between components, as a forest of each cell.
+
+    A cell are the sets that share a first half key and, somewhere, a bucket with a set of another
+    component. Their pairs are compared in place, on the full sets, and never listed.
+    """
     rooted = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = stored(rooted, "bucket-roots", compression="zstd")
-    mixed_ = rooted.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
-    mixed_ = stored(mixed_.select("bucket"), "mixed-buckets")
-    rows = rooted.join(mixed_, "bucket", "left_semi")
-    blocks = F.when(F.col("size") <= CELL, 1).otherwise(F.ceil(F.col("size") / (CELL // 2))).cast("int")
+    rooted = stored(rooted.drop("size"), "bucket-roots", compression="zstd")
+    open_ = rooted.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
+    open_ = stored(open_.select("bucket"), "open-buckets")
+    rows = rooted.join(open_, "bucket", "left_semi").select("part", "half", "node", "root").distinct()
+    rows = stored(rows, "open-rows")
+    sizes = stored(rows.groupBy("part", "half").agg(F.count("*").alias("n")), "open-sizes")
+    blocks = F.when(F.col("n") <= CELL, 1).otherwise(F.ceil(F.col("n") / (CELL // 2))).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("blocks", blocks).withColumn("own", own)
+    dealt = rows.join(sizes, ["part", "half"]).withColumn("blocks", blocks).withColumn("own", own)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("bucket", "place", "node", "root", "own", other)
-    cell = F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("cell")
+    dealt = dealt.select("part", "half", "node", "root", "own", other)
+    cell = F.xxhash64("part", "half", F.least("own", "other"), F.greatest("own", "other")).alias("cell")
     side = F.when(F.col("own") == F.col("other"), -1).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side")
-    rows = rows.select(cell, "place", "node", "root", side)
-    rows = rows.join(nodes.select("node", "n_shingles", "signature"), "node")
-    dealt = rows.repartition("cell").sortWithinPartitions("cell", "root", "node")
+    sized = nodes.select("node", F.col("n_shingles").alias("size"), "signature")
+    names = ["cell", "part", "node", "root", "side"]
+    dealt = dealt.select(cell, "part", "node", "root", side)
+
+    def columns(batch):
+        rows = {c: np.asarray(batch.column(c)) for c in (*names, "size")}
+        return rows, pairs_in_cells(rows, unpacked(batch.column("signature")), percent)
+
+    def paired(batch):
+        rows, pairs = columns(batch)
+        meets = np.zeros(batch.num_rows, bool)
+        for x, y in pairs:
+            meets[x] = meets[y] = True
+        return pa.record_batch({c: rows[c][meets] for c in names})
+
+    def links(batch):
+        sets = [np.frombuffer(s.as_buffer(), "<u8") for s in batch.column("shingles")]
+        rows, pairs = columns(batch)
+        forest, found = Forest(), []
+        for x, y in pairs:
+            if len(x):
+                shared = shared_counts(sets, x, y)
+                linked = 100 * shared >= percent * (rows["size"][x] + rows["size"][y] - shared)
+                ends = zip(rows["node"][x[linked]].tolist(), rows["node"][y[linked]].tolist())
+                found += [pair for pair in ends if forest.add(*pair)]
+        us, vs = zip(*found) if found else ((), ())
+        return pa.record_batch([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+
+    # Only sets whose minhashes agree with another one's are read and sent to their cells.
+    close = cell_by_cell(dealt.join(sized, "node"), paired, "cell long, part int, node long, root long, side int")
+    close = stored(close, "close-rows")
+    sets = full_sets(docs, nodes, close.select("node"), shingle)
+    found = cell_by_cell(close.join(sized, "node").join(sets, "node"), links, "u long, v long")
+    found = stored(found, "further-links")
+    discard(rooted, open_, rows, sizes, close, sets)
+    return found
+
+
+def cell_by_cell(rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on Arrow batches of whole cells."""
 
-    def compare(batches):
+    def run(batches):
         kept = None
         for batch in batches:
             kept = batch if kept is None else pa.concat_batches([kept, batch])
             cells = np.asarray(kept.column("cell"))
             ready = int(np.searchsorted(cells, cells[-1])) if len(cells) else 0
             if ready:
-                yield found(kept.slice(0, ready))
+                yield work(kept.slice(0, ready))
                 kept = kept.slice(ready)
         if kept is not None and kept.num_rows:
-            yield found(kept)
+            yield work(kept)
 
-    def found(batch):
-        names = ("cell", "root", "side", "node", "n_shingles", "place")
-        columns = {c: np.asarray(batch.column(c)) for c in names}
-        u, v = pairs_in_cells(columns, unpacked(batch.column("signature")), percent)
-        return pa.record_batch({"u": np.minimum(u, v), "v": np.maximum(u, v)})
+    return rows.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(run, schema)
 
-    pairs = stored(dealt.mapInArrow(compare, "u long, v long").distinct(), "further-pairs")
-    discard(rooted, mixed_)
-    return pairs
 
+def full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles): the sets of the ``wanted`` nodes, as sorted 64-bit hashes.
 
-def full_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """(node, shingles): the sets of all nodes in ``pairs``, as sorted 64-bit hashes."""
-    wanted = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    wanted = stored(nodes.join(wanted, "node", "left_semi").select("node", "home"), "wanted-sets")
-    texts = docs.select("doc_id", "text", *text_hashes())
-    same = (texts["t1"] == wanted["home.t1"]) & (texts["t2"] == wanted["home.t2"])
-    same &= texts["doc_id"].eqNullSafe(wanted["home.doc_id"])
+    Texts are shuffled only if their hash falls on a bit that a wanted one has set. There are
+    2 ** ``BITS`` bits, so the table that is broadcast has 2 ** (``BITS`` - 6) rows at most.
+    """
+    wanted = nodes.join(wanted.distinct(), "node", "left_semi").select("node", "home.*")
+    wanted = stored(wanted, "wanted-sets")
+    slot = F.pmod(F.xxhash64("doc_id", "t1"), F.lit(1 << BITS))
+    word, bit = F.shiftright(slot, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
+    bits = stored(wanted.groupBy(word).agg(F.bit_or(bit).alias("bits")), "wanted-bits")
+    texts = docs.select("doc_id", "text", *text_hashes()).withColumn("bit", bit).withColumn("word", word)
+    texts = texts.join(F.broadcast(bits), "word").where(F.col("bits").bitwiseAND(F.col("bit")) != 0)
+    same = (texts["t1"] == wanted["t1"]) & (texts["t2"] == wanted["t2"]) & texts["doc_id"].eqNullSafe(wanted["doc_id"])
     found = texts.join(wanted, same).select("node", F.col("text").cast("binary").alias("text"))
 
     def make(batches):
@@ -289,8 +367,10 @@ def full_sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, shingle: int)
             sets = [shingle_set(t.as_py(), known, shingle).tobytes() for t in batch.column("text")]
             yield pa.record_batch({"node": batch.column("node"), "shingles": pa.array(sets, pa.binary())})
 
-    sets = found.mapInArrow(make, "node long, shingles binary").dropDuplicates(["node"])  # of repeated rows one
-    return stored(sets, "full-sets")
+    sets = found.dropDuplicates(["node"]).mapInArrow(make, "node long, shingles binary")  # of repeated rows one
+    sets = stored(sets, "full-sets")
+    discard(wanted, bits)
+    return sets
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -362,18 +442,14 @@ def near_duplicate_sets(
     nodes = stored(nodes.withColumn("home", F.col("home").dropFields("signature")), "distinct-sets", compression="zstd")
     buckets = bucket_rows(nodes)
     pairs = leader_pairs(buckets)
-    sets = full_sets(texts, nodes, pairs, shingle)
-    links = confirmed(pairs, sets, percent)
-    roots = components(links)
-    more = further_pairs(nodes, buckets, roots, percent).join(pairs, ["u", "v"], "left_anti")
-    more = stored(more.join(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")), ["u", "v"], "left_anti"), "open-pairs")
-    discard(buckets)
+    ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))
+    sets = full_sets(texts, nodes, ends, shingle)
+    roots = components(confirmed(pairs, sets, percent))
+    discard(sets, pairs)
+    more = further_links(texts, nodes, buckets, roots, percent, shingle)
     if not more.isEmpty():
-        further = full_sets(texts, nodes, more, shingle)
-        found = confirmed(more, further, percent)
-        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(found))
-        discard(further)
-    discard(sets, pairs, more)
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+    discard(buckets)
     rooted = nodes.select("node", "s1", "s2", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("first").alias("least"))
     classes = stored(rooted.join(least, "root").select("s1", "s2", "least"), "set-classes")
