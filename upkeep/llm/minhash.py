@@ -351,15 +351,19 @@ def full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int
     Texts are shuffled only if their hash falls on a bit that a wanted one has set. There are
     2 ** ``BITS`` bits, so the table that is broadcast has 2 ** (``BITS`` - 6) rows at most.
     """
+    key = F.xxhash64("doc_id", "t1", "t2").alias("key")
     wanted = nodes.join(wanted.distinct(), "node", "left_semi").select("node", "home.*")
-    wanted = stored(wanted, "wanted-sets")
-    slot = F.pmod(F.xxhash64("doc_id", "t1"), F.lit(1 << BITS))
+    wanted = stored(wanted.select("node", key, "t1", "t2"), "wanted-sets")
+    slot = F.pmod(F.col("key"), F.lit(1 << BITS))
     word, bit = F.shiftright(slot, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
     bits = stored(wanted.groupBy(word).agg(F.bit_or(bit).alias("bits")), "wanted-bits")
-    texts = docs.select("doc_id", "text", *text_hashes()).withColumn("bit", bit).withColumn("word", word)
+    texts = docs.select("doc_id", "text", *text_hashes()).select("text", key, "t1", "t2")
+    texts = texts.withColumn("bit", bit).withColumn("word", word)
     texts = texts.join(F.broadcast(bits), "word").where(F.col("bits").bitwiseAND(F.col("bit")) != 0)
-    same = (texts["t1"] == wanted["t1"]) & (texts["t2"] == wanted["t2"]) & texts["doc_id"].eqNullSafe(wanted["doc_id"])
-    found = texts.join(wanted, same).select("node", F.col("text").cast("binary").alias("text"))
+    # Of repeated rows one; their texts lie where the join has brought them.
+    keys = ["key", "t1", "t2"]
+    found = texts.select(*keys, "text").join(wanted, keys).dropDuplicates(keys)
+    found = found.select("node", F.col("text").cast("binary").alias("text"))
 
     def make(batches):
         known = WordHashes()
@@ -367,8 +371,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, shingle: int
             sets = [shingle_set(t.as_py(), known, shingle).tobytes() for t in batch.column("text")]
             yield pa.record_batch({"node": batch.column("node"), "shingles": pa.array(sets, pa.binary())})
 
-    sets = found.dropDuplicates(["node"]).mapInArrow(make, "node long, shingles binary")  # of repeated rows one
-    sets = stored(sets, "full-sets")
+    sets = stored(found.mapInArrow(make, "node long, shingles binary"), "full-sets")
     discard(wanted, bits)
     return sets
 
