@@ -80,7 +80,7 @@ TRICKY = [
 ]
 
 
-@pytest.mark.parametrize("block, links", [(4 << 20, 4096), (2000, 3)])
+@pytest.mark.parametrize("block, links", [(1 << 20, 4096), (2000, 3)])
 def test_equals_brute_force(spark, monkeypatch, block, links):
     monkeypatch.setattr(alignment, "BLOCK_BYTES", block)
     monkeypatch.setattr(alignment, "GROUP_LINKS", links)

@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 from upkeep.llm.common import documents, stored, worker_state
 from upkeep.workspace import discard
 
-#: Bytes of text of a block, and distinct chunks that a worker keeps.
-BLOCK_BYTES, KEPT_CHUNKS = 4 << 20, 500_000
+#: Bytes of text of a block, and distinct chunks that a worker keeps beside those of a block.
+BLOCK_BYTES, KEPT_CHUNKS = 1 << 20, 300_000
+#: Chunks that are encoded at once.
+TOGETHER = 400
 #: Links of a group that are listed one by one; larger groups count their distinct ids first.
 GROUP_LINKS = 4096
 #: A space beside other white space or at an end of the text; white space of any kind at an end.
@@ -97,26 +99,40 @@ class Tokenizers:
             found.append((np.array(a.ids, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else None)
         return found
 
+    def learned(self, chunks: list[str]) -> list[tuple[bytes, bytes] | None]:
+        """The same for chunks without spaces at their ends, many at once: joined by spaces they keep their ids."""
+        found: list[tuple[bytes, bytes] | None] = []
+        for start in range(0, len(chunks), TOGETHER):
+            some = chunks[start : start + TOGETHER]
+            (ids,) = self.whole([" ".join(some)])
+            if ids is None:
+                found += self.whole(some)
+                continue
+            begins = np.cumsum([0, *(len(c.encode()) + 1 for c in some)])
+            sides = []
+            for side, size in zip(ids, self.sizes):
+                side = np.frombuffer(side, "<u4")
+                cut = np.searchsorted(np.cumsum(size[side]), begins, "right")
+                sides.append([side[a:b].tobytes() for a, b in zip(cut.tolist(), cut[1:].tolist())])
+            found += zip(*sides)
+        return found
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """The same, through chunks where spaces are single and lie between other signs."""
         chunks = [t.split(" ") if t else [] for t in texts]
         plain = [self.apart and not LOOSE_SPACE.search(t) for t in texts]
-        missing = list(set().union(*[c for c, p in zip(chunks, plain) if p]).difference(self.known))
-        new: dict[str, tuple[bytes, bytes] | None] = {}
-        for start in range(0, len(missing), 10_000):
-            new.update(zip(missing[start : start + 10_000], self.whole(missing[start : start + 10_000])))
-        if len(self.known) + len(new) <= KEPT_CHUNKS:
-            self.known.update(new)
-            new = self.known
-        else:
-            new = {c: self.known[c] for p, some in zip(plain, chunks) if p for c in some if c in self.known} | new
+        every = set().union(*[c for c, p in zip(chunks, plain) if p])
+        missing = list(every.difference(self.known))
+        if len(self.known) + len(missing) > KEPT_CHUNKS:  # start anew with what these texts hold
+            self.known = {c: self.known[c] for c in every.difference(missing)}
+        self.known.update(zip(missing, self.learned(missing)))
         other = [i for i, p in enumerate(plain) if not p]
         found: list[tuple[bytes, bytes] | None] = [None] * len(texts)
         for i, ids in zip(other, self.whole([texts[i] for i in other]) if other else ()):
             found[i] = ids
         for i, some in enumerate(chunks):
             if plain[i] and some:
-                parts = [new[c] for c in some]
+                parts = [self.known[c] for c in some]
                 if None not in parts:
                     found[i] = (b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts]))
         return found
@@ -240,7 +256,8 @@ def aligned_blocks(docs: DataFrame, paths: tuple[str, str], spell: bool) -> Data
         kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
         schema = pa.schema([(n, kinds[k]) for n, k in names])
         for batch in batches:
-            for number, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for number, text in zip(batch.column("doc_id"), batch.column("text")):
+                number, text = number.as_py(), text.as_py()
                 waiting.append((number, text))
                 size += 4 * len(text)  # bytes at most
                 if size >= 4 * BLOCK_BYTES:
