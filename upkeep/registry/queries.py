@@ -399,7 +399,7 @@ def _classifier(name):
             values = vector_to_array("features")
             expressed = prediction_column(model, [values[i] for i in range(len(FEATURES))])
         else:
-            slopes = linear_residuals(train, model, edge=0.001).agg(F.max("residual"), F.max("start")).first()
+            slopes = linear_residuals(train, model, edge=0.01).agg(F.max("residual"), F.max("start")).first()
             check = F.lit(slopes[0] <= 1e-3 * slopes[1])
         predictions = stabilise(predictions.select(LABEL, "prediction", expressed.alias("expressed")))
         f1 = metrics.weighted_f1(metrics.confusion_counts(predictions)).first().f1
