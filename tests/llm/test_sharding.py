@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import odd
 import pytest
 
+from upkeep.llm.queries import all_queries
 from upkeep.llm.sharding import shard, splitters
 
 
@@ -78,3 +79,23 @@ def test_boundaries_within_a_group_only_where_it_fills_ranges():
     found = splitters(samples, 11)
     assert sum(k[0] == 1 for k in found) > 5
     assert all(k[1] == -(1 << 63) for k in found if k[0] > 1)
+
+
+def test_query_over_the_table(spark, tables, table_docs):
+    texts = [(r["doc_id"], r["text"]) for r in table_docs.select("doc_id", "text").collect()]
+    rows = all_queries()["op8_sharding"](spark, tables).collect()
+    check(rows, texts, 40)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == Counter(
+        (i, size(t), zlib.crc32((t or "").encode())) for i, t in texts
+    )
+    groups, text_of = Counter(), dict(texts)
+    for _, t in texts:
+        groups[t or ""] += size(t)
+    share, load, homes = sum(groups.values()) / 40, Counter(), defaultdict(set)
+    for r in rows:
+        load[r["shard"]] += r["size"]
+        homes[text_of[r["doc_id"]] or ""].add(r["shard"])
+    assert all(len(homes[t]) == 1 for t, n in groups.items() if n <= share)
+    # A range is cut between groups only, so a shard misses its share by a group that is not heavy or by two.
+    loose = max(n for n in groups.values() if n <= share)
+    assert max(load.values()) - min(load.values()) <= 2 * loose

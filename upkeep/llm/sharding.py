@@ -9,8 +9,7 @@ left. Groups above a shard's share are subdivided by record.
 
 from __future__ import annotations
 
-from bisect import bisect_right
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -98,11 +97,11 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
     light = tagged.where("parts is null")
     ranges = shards * RANGES
     step = max(1.0, (total - sum(r[1] for r in heavy)) / (ranges * SAMPLES))
-    bounds = sorted({key[0] for key in splitters(sample_keys(light, step), ranges)})
+    bounds = np.unique(np.array([key[0] for key in splitters(sample_keys(light, step), ranges)], np.int64))
 
     @F.pandas_udf("int")
     def range_of(group: pd.Series) -> pd.Series:
-        return pd.Series([bisect_right(bounds, key) for key in group], dtype="int32")
+        return pd.Series(np.searchsorted(bounds, group.to_numpy(), "right").astype(np.int32))
 
     light = light.withColumn("cell", range_of("group_key"))
     filled = stored(light.drop("parts"), "shard-ranges")
@@ -124,6 +123,7 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
     for x in free[:-1]:
         at += x * scale
         ends.append(at)
+    ends = np.array(ends, float)
     order = Window.partitionBy("cell", "part").orderBy("group_key")
     upto = F.sum("size").over(order.rangeBetween(Window.unboundedPreceding, 0))
     own = F.sum("size").over(Window.partitionBy("cell", "part", "group_key"))
@@ -131,7 +131,7 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
 
     @F.pandas_udf("int")
     def shard_of(place: pd.Series) -> pd.Series:
-        return pd.Series([bisect_right(ends, x) for x in place], dtype="int32")
+        return pd.Series(np.searchsorted(ends, place.to_numpy(), "right").astype(np.int32))
 
     light = (
         filled.withColumns({"upto": upto, "own": own})
