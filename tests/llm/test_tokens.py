@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from upkeep.llm.packing import STEP_SEQUENCES, pack, plan
 from upkeep.llm.queries import all_queries
-from upkeep.llm.sequences import BATCH, SequenceReader, read_documents, write_sequences
+from upkeep.llm.sequences import BATCH, SequenceReader, arrow_address, located, read_documents, store, write_sequences
 from upkeep.llm.tokens import ChunkEncoder, default_tokenizer
 
 ENCODER = ChunkEncoder(default_tokenizer())
@@ -71,13 +71,44 @@ def test_files_hold_all_ids_in_order(spark, docs, tmp_path):
         ((i, len(ids_of(t)), zlib.crc32(ids_of(t).tobytes())) for i, t in want), key=key
     )
     name = shards.first()["name"]
-    reader = SequenceReader(str(tmp_path / "files"), f"{name}.arrow")
+    reader = SequenceReader(located(spark, str(tmp_path / "files")), f"{name}.arrow")
     ids, mask = reader.sequence(0, BATCH)
     assert len(ids) == len(mask) == reader.length and ids.base is not None
     with pa.ipc.open_file(str(tmp_path / "files" / f"{name}.arrow")) as file:
         assert pa.types.is_fixed_size_list(file.schema.field("ids").type)
 
 
+def test_roots_are_those_of_spark(spark):
+    assert located(spark, "/a/b") == "file:/a/b"  # the default of a local session
+    assert store("file:/a/b")[1] == store("file:///a/b")[1] == "/a/b"
+    assert located(spark, "s3a://bucket/x") == "s3a://bucket/x"
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "hdfs://names:8020")
+    try:
+        assert located(spark, "/a/b") == "hdfs://names:8020/a/b"
+        assert located(spark, "file:/a/b") == "file:/a/b"
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert arrow_address("s3a://bucket/x") == "s3://bucket/x"
+    assert arrow_address("hdfs://names:8020/a b") == "hdfs://names:8020/a%20b"
+
+
+def test_unknown_file_systems_are_refused_before_anything_is_read(spark, docs):
+    with pytest.raises(ValueError, match="ftp is none of"):
+        write_sequences(docs, "ftp://host/files")
+
+
+def test_parts_of_lost_tasks_go(spark, docs, tmp_path):
+    root = tmp_path / "files"
+    root.mkdir()
+    for name in ("_shard-000000.arrow.1f.part", "_index-2e.part"):
+        (root / name).write_bytes(b"half")
+    shards = write_sequences(docs, str(root))
+    assert not list(root.glob("_*"))
+    assert read_documents(shards, str(root)).count() == docs.count()
+
+
 def test_no_documents(spark, none, tmp_path):
     shards = write_sequences(none, str(tmp_path / "files"))
     assert read_documents(shards, str(tmp_path / "files")).count() == 0

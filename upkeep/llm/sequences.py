@@ -11,10 +11,11 @@ Shards are ranges of doc_id in ascending order.
 from __future__ import annotations
 
 import zlib
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upkeep.llm.common import documents, local_rows
@@ -26,11 +27,47 @@ SEQUENCE, BATCH = 4096, 64
 END_ID = 2
 
 
+#: Schemes of Spark's addresses, and what Arrow calls the same file systems.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfss": "abfss"}
+
+
+def located(spark: SparkSession, root: str) -> str:
+    """``root`` as Spark's writers understand it, in full: a path without a scheme lies on the default file system.
+
+    Raises ValueError, before anything is written, where Arrow has no such file system.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if not path.toUri().getScheme():
+        default = spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(spark._jsc.hadoopConfiguration())
+        path = path.makeQualified(default, spark._jvm.org.apache.hadoop.fs.Path("/"))
+    scheme = path.toUri().getScheme()
+    if scheme not in SCHEMES:
+        raise ValueError(f"token files cannot be written to {root}: {scheme} is none of {', '.join(SCHEMES)}")
+    return path.toString()
+
+
 def store(root: str):
-    """The file system of ``root`` and its path there."""
+    """The file system of ``root``, as ``located`` returns it, and its path there."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(root if "://" in root or root.startswith("file:") else f"file://{root}")
+    scheme, _, rest = root.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(arrow_address(root))
+
+
+def arrow_address(root: str) -> str:
+    """``root``, as ``located`` returns it, as an address for Arrow."""
+    scheme, _, rest = root.partition(":")
+    return f"{SCHEMES[scheme]}:{quote(rest, safe='/:@')}"
+
+
+def sweep(spark: SparkSession, root: str) -> None:
+    """Delete what attempts that were lost or ran twice have left unfinished under ``root``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for left in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(path, "_*.part")) or []:
+        files.delete(left.getPath(), False)
 
 
 def schema_for(bits: int, length: int) -> pa.Schema:
@@ -44,7 +81,7 @@ class SequenceWriter:
     def __init__(self, root: str, name: str, bits: int, length: int, per_batch: int):
         self.fs, base = store(root)
         self.fs.create_dir(base)
-        self.final, self.part = f"{base}/{name}", f"{base}/_{name}.{np.random.SeedSequence().entropy:x}"
+        self.final, self.part = f"{base}/{name}", f"{base}/_{name}.{np.random.SeedSequence().entropy:x}.part"
         self.schema, self.length, self.per_batch = schema_for(bits, length), length, per_batch
         self.dtype = np.uint16 if bits == 16 else np.uint32
         self.file = self.fs.open_output_stream(self.part)
@@ -126,9 +163,11 @@ def write_sequences(
     Returns one row per shard, in order: shard, name, n_docs, n_tokens, before (ids of all shards
     before it). Null texts are empty and give the end id alone; null ids come first; rows with
     equal ids are ordered by a hash of their text, and repeated rows each have a place. An empty
-    table gives no files. A task that runs again replaces its files by equal ones.
+    table gives no files. A task that runs again replaces its files by equal ones; what lost tasks
+    leave unfinished is deleted in the end. A root without a scheme lies on Spark's default file system.
     """
     spark = docs.sparkSession
+    root = located(spark, root)
     path = tokenizer or default_tokenizer()
     rows = documents(docs, id_col, text_col).withColumn("tie", F.xxhash64("text"))
     order = ["doc_id", "tie"]
@@ -159,7 +198,7 @@ def write_sequences(
         out.close()
         files, base = store(root)
         name = f"{base}/shard-{shard:06}.index.arrow"
-        part = f"{base}/_index-{np.random.SeedSequence().entropy:x}"
+        part = f"{base}/_index-{np.random.SeedSequence().entropy:x}.part"
         with files.open_output_stream(part) as file, pa.ipc.new_file(file, index[0].schema) as writer:
             for batch in index:
                 writer.write_batch(batch)
@@ -168,6 +207,7 @@ def write_sequences(
         yield pa.record_batch({"shard": [shard], "n_docs": [rows], "n_tokens": [start]})
 
     manifest = stabilise(ranged.mapInArrow(write, "shard long, n_docs long, n_tokens long"))
+    sweep(spark, root)
     rows, before = [], 0
     for r in sorted(manifest.collect()):  # a row for each file
         rows.append((r[0], f"shard-{r[0]:06}", r[1], r[2], before))
@@ -178,6 +218,7 @@ def write_sequences(
 
 def read_documents(shards: DataFrame, root: str) -> DataFrame:
     """From the files: doc_id, start (ids of all documents before it), n_tokens and ids_crc32."""
+    root = located(shards.sparkSession, root)
 
     def read(batches):
         for batch in batches:
