@@ -20,7 +20,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upkeep.llm.common import documents, stored
@@ -290,12 +290,12 @@ def score_documents(
     valued = stored(grams.join(model, "gram").select("block", "gram", "value"), "lm-grams", compression="zstd")
     gram_part = valued.select("block", "gram", F.lit(None).cast("binary").alias("word"), "value")
 
-    word = Window.partitionBy("word")
+    # Summed first and joined back: a word that every block holds is no task's burden, as the join can be split.
     words = made.where("word is not null").select("block", "word", "n")
-    number = F.row_number().over(word.orderBy("block")).alias("number")
-    words = stored(words.select("block", "word", F.sum("n").over(word).alias("c"), number), "lm-words", compression="zstd")
-    known = words.where("number = 1").agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0)))
+    counts = stored(words.groupBy("word").agg(F.sum("n").alias("c")), "lm-word-counts", compression="zstd")
+    known = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0)))
     total, distinct = known.first()
+    words = stored(words.select("block", "word").join(counts, "word"), "lm-words", compression="zstd")
     scale = total + 0.1 * (distinct + 1)
     word_part = words.select("block", F.lit(None).cast("long").alias("gram"), "word", F.col("c").cast("double").alias("value"))
 
