@@ -103,3 +103,13 @@ def test_no_documents(none):
 def test_table_equals_brute_force(spark, tables):
     texts = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{tables}/documents.parquet").collect()]
     assert result(all_queries()["op13_alignment"](spark, tables)) == brute(texts)
+
+
+def test_a_full_cache_changes_no_ids(monkeypatch):
+    monkeypatch.setattr(alignment, "KEPT_CHUNKS", 12)
+    known = alignment.Tokenizers(*alignment.default_tokenizers())
+    blocks = [[f"the word {i} and {i % 7} tail{i // 2}", f"the  loose {i}", f"word{i} the\u2003", ""] for i in range(40)]
+    for texts in blocks:
+        assert known.encode(texts)[:3] == known.whole(texts)[:3]
+        assert known.again <= known.known.keys() and len(known.known) <= 12 + 10
+    assert {"the", "word", "and"} <= known.again  # what comes in every block stays

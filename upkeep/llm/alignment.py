@@ -16,7 +16,6 @@ to what lies before it, which is checked when they are loaded. Other texts are e
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 import pandas as pd
@@ -28,13 +27,11 @@ from upkeep.llm.common import documents, stored, worker_state
 from upkeep.workspace import discard
 
 #: Bytes of text of a block, and distinct chunks that a worker keeps beside those of a block.
-BLOCK_BYTES, KEPT_CHUNKS = 1 << 20, 300_000
+BLOCK_BYTES, KEPT_CHUNKS = 1 << 20, 450_000
 #: Chunks that are encoded at once.
 TOGETHER = 400
 #: Links of a group that are listed one by one; larger groups count their distinct ids first.
 GROUP_LINKS = 4096
-#: A space beside other white space or at an end of the text; white space of any kind at an end.
-LOOSE_SPACE = re.compile(r"\A\s|\s\Z|\s | \s")
 
 
 def default_tokenizers() -> tuple[str, str]:
@@ -79,6 +76,7 @@ class Tokenizers:
         ]
         self.bits = max(len(self.bytes_b) - 1, 1).bit_length()
         self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        self.again: set[str] = set()  # kept chunks that have come again
 
     @staticmethod
     def of(paths: tuple[str, str]) -> Tokenizers:
@@ -104,27 +102,42 @@ class Tokenizers:
         found: list[tuple[bytes, bytes] | None] = []
         for start in range(0, len(chunks), TOGETHER):
             some = chunks[start : start + TOGETHER]
-            (ids,) = self.whole([" ".join(some)])
+            joined = " ".join(some)
+            (ids,) = self.whole([joined])
             if ids is None:
                 found += self.whole(some)
                 continue
-            begins = np.cumsum([0, *(len(c.encode()) + 1 for c in some)])
+            joined = joined.encode()
+            spaces = np.flatnonzero(np.frombuffer(joined, np.uint8) == 0x20) + 1
+            begins = np.concatenate([[0], spaces, [len(joined) + 1]])
             sides = []
             for side, size in zip(ids, self.sizes):
-                side = np.frombuffer(side, "<u4")
-                cut = np.searchsorted(np.cumsum(size[side]), begins, "right")
-                sides.append([side[a:b].tobytes() for a, b in zip(cut.tolist(), cut[1:].tolist())])
+                cut = np.searchsorted(np.cumsum(size[np.frombuffer(side, "<u4")]), begins, "right") * 4
+                cut = cut.tolist()
+                sides.append([side[a:b] for a, b in zip(cut, cut[1:])])
             found += zip(*sides)
         return found
 
+    def new(self, every: set[str]) -> set[str]:
+        """The chunks not kept. If they overfill the cache, only chunks that have come again stay in it."""
+        missing = every.difference(self.known)
+        here = every - missing
+        self.again |= here
+        if len(self.known) + len(missing) > KEPT_CHUNKS:
+            stay = self.again if len(self.again) <= KEPT_CHUNKS // 2 else here
+            self.known = {c: self.known[c] for c in stay}
+            self.again = here
+        return missing
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
         """The same, through chunks where spaces are single and lie between other signs."""
         chunks = [t.split(" ") if t else [] for t in texts]
-        plain = [self.apart and not LOOSE_SPACE.search(t) for t in texts]
-        every = set().union(*[c for c, p in zip(chunks, plain) if p])
-        missing = list(every.difference(self.known))
-        if len(self.known) + len(missing) > KEPT_CHUNKS:  # start anew with what these texts hold
-            self.known = {c: self.known[c] for c in every.difference(missing)}
+        every = set().union(*chunks)
+        loose = {c for c in every if c != c.strip() or not c}
+        plain = [self.apart and (not loose or loose.isdisjoint(some)) for some in chunks]
+        if not all(plain):
+            every = set().union(*[c for c, p in zip(chunks, plain) if p])
+        missing = list(self.new(every))
         self.known.update(zip(missing, self.learned(missing)))
         other = [i for i, p in enumerate(plain) if not p]
         found: list[tuple[bytes, bytes] | None] = [None] * len(texts)
@@ -132,9 +145,10 @@ class Tokenizers:
             found[i] = ids
         for i, some in enumerate(chunks):
             if plain[i] and some:
-                parts = [self.known[c] for c in some]
+                parts = list(map(self.known.__getitem__, some))
                 if None not in parts:
-                    found[i] = (b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts]))
+                    left, right = zip(*parts)
+                    found[i] = (b"".join(left), b"".join(right))
         return found
 
 
@@ -194,7 +208,8 @@ class Block:
             times.append((nx[:, None] * ny).ravel())
             docs.append(np.full(len(keys[-1]), self.doc_of[g]))
         keys, times, docs = (np.concatenate(x) for x in (keys, times, docs))
-        order = np.lexsort((keys, docs))
+        wide = len(self.known.bytes_a).bit_length() + bits  # bits of a pair
+        order = np.argsort(docs << wide | keys) if len(self.counts[0]) >> (62 - wide) == 0 else np.lexsort((keys, docs))
         keys, times, docs = keys[order], times[order], docs[order]
         run = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])])) if len(keys) else []
         return (docs[run], keys[run], np.add.reduceat(times, run)) if len(run) else (docs, keys, times)
