@@ -109,6 +109,47 @@ def test_colliding_keys_are_compared_with_all(spark, monkeypatch):
     check(spark, odd.documents(spark, texts), texts)
 
 
+def permuted(count):
+    """Cells in any order between the same marks, half of the lines with a last word that the others lack.
+
+    So all lines without it equal, by their neighbours, every line with it but for one word.
+    """
+    rng = random.Random(5)
+    cells = [f"c{k}" for k in range(9)]
+    lines = []
+    for k in range(count):
+        rng.shuffle(cells)
+        lines.append("first | " + " | ".join(cells) + (" | last" if k % 2 else " |"))
+    return lines
+
+
+def test_lines_of_the_same_neighbours_against_brute_force(spark):
+    rng = random.Random(6)
+    lines = permuted(40)
+    lines += [" ".join(edited(line.split(), rng)) for line in lines]
+    lines += ["x y " * k + "end of the line that begins like others" for k in range(1, 9)]
+    rng.shuffle(lines)
+    texts = list(enumerate(lines))
+    check(spark, odd.documents(spark, texts), texts)
+
+
+def test_many_lines_of_the_same_neighbours(spark):
+    """100,000 lines whose keys are all equal: no pairs of them are listed, and each repeat is found."""
+    lines = permuted(100_000)
+    lines += [line.replace("last", "least") for line in lines[1:11:2]]
+    frame = odd.documents(spark, [(k, "\n".join(lines[k : k + 1000])) for k in range(0, len(lines), 1000)])
+    rows, name = dedup_lines(frame)
+    gone = {r["doc_id"] + p for r in rows.collect() for p in r[name]["dropped"]}
+    seen, want = set(), set()
+    for k, line in enumerate(lines):
+        # One edit apart are only lines of the same order, as a cell elsewhere takes two.
+        order = tuple(w for w in line.split() if w.startswith("c"))
+        if order in seen:
+            want.add(k)
+        seen.add(order)
+    assert gone == want and len(want) > 5
+
+
 def test_query_equals_its_sql(spark, tables):
     connection = duckdb.connect()
     connection.execute(f"create view documents as select * from '{tables}/documents.parquet'")

@@ -9,7 +9,8 @@ lines that share neither with another line need no variants. The others emit eve
 one word deleted, as a hashed key. Lines whose variants agree at the same position differ by a
 replaced word; a variant that equals a whole line differs by an inserted one. In every group of
 equal keys each line is compared with the earliest only, which decides whether it goes; pairs are
-never listed. The edit distance of each such pair is verified on the words.
+never listed. The edit distance of each such pair is verified on the words. Where it refutes a pair,
+the lines with that key are grouped once more, by hashes of their variants' words in order.
 """
 
 from __future__ import annotations
@@ -126,28 +127,56 @@ def verified(pairs: DataFrame, close: DataFrame) -> DataFrame:
     return pairs.join(mine, "rank").join(theirs, "earlier").select("rank", "earlier", near)
 
 
+def with_leads(keys: DataFrame, by: list[str], name: str) -> DataFrame:
+    """``by``, rank and earlier: each line beside the earliest that its key says it resembles."""
+    least = [F.min(F.when(F.col("kind") == i, F.col("rank"))).alias(f"least{i}") for i in range(3)]
+    groups = keys.groupBy(*by).agg(F.count("*").alias("n"), *least).where("n > 1")
+    groups = stored(groups, f"{name}-groups")
+    lead = F.when(F.col("kind") == 0, F.col("least0")).when(F.col("kind") == 1, F.col("least2")).otherwise(F.col("least1"))
+    pairs = keys.join(groups, by).select(*by, "rank", lead.alias("earlier")).where("earlier < rank")
+    return stored(pairs, f"{name}-pairs")
+
+
+def spelled_keys(keys: DataFrame, shared: DataFrame, close: DataFrame) -> DataFrame:
+    """(kind, h1, h2, rank) of the variants whose key is in ``shared``, hashed from all their words in order.
+
+    Keys combine hashes of neighbours, so lines of the same neighbours in another order, or of
+    neighbours that cancel out, have equal ones. These hashes tell them apart as they tell lines.
+    """
+    members = keys.join(shared, "key", "left_semi").select("rank").distinct()
+    lines = close.join(members, "rank", "left_semi")
+    entries = lines.select("rank", F.posexplode(variants(F.col("words"))).alias("pos", "v")).select("rank", "pos", "v.*")
+    entries = entries.join(shared, "key", "left_semi").groupBy("rank").agg(F.collect_set(F.struct("kind", "pos")).alias("at"))
+    words, n = F.col("words"), F.size("words")
+
+    def spelled(entry: Column) -> Column:
+        # The variants without the word at 0, 1, ... of kind 0, then those of kind 1, then the whole line.
+        kind, place = entry["kind"], (entry["pos"] % n).cast("int")
+        rest = F.concat(F.slice(words, F.lit(1), place), F.slice(words, place + 2, n))
+        rest = F.when(kind == 2, words).otherwise(rest)
+        masked = F.when(kind == 0, place).otherwise(-1)
+        hashed = [F.xxhash64(F.lit(i), masked, rest).alias(f"h{i}") for i in (1, 2)]
+        return F.struct(kind.alias("kind"), *hashed)
+
+    found = close.select("rank", "words").join(entries, "rank")
+    return found.select("rank", F.explode(F.transform("at", spelled)).alias("v")).select("v.*", "rank")
+
+
 def near_repeats(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFrame:
     """(h1, h2) of the lines that an earlier line resembles by one edit."""
     close = close_lines(docs, lines, firsts)
     keys = close.select("rank", F.explode(variants(F.col("words"))).alias("v")).select("v.*", "rank")
     keys = stored(keys, "line-variants", compression="zstd")
-    least = [F.min(F.when(F.col("kind") == i, F.col("rank"))).alias(f"least{i}") for i in range(3)]
-    groups = keys.groupBy("key").agg(F.count("*").alias("n"), *least).where("n > 1")
-    groups = stored(groups, "variant-groups")
-    lead = F.when(F.col("kind") == 0, F.col("least0")).when(F.col("kind") == 1, F.col("least2")).otherwise(F.col("least1"))
-    pairs = keys.join(groups, "key").select("key", "kind", "rank", lead.alias("earlier")).where("earlier < rank")
-    pairs = stored(pairs, "line-pairs")
+    pairs = with_leads(keys, ["key"], "variant")
     first = stored(verified(pairs.select("rank", "earlier").distinct(), close), "line-verdicts")
     found = first.where("near").select("rank")
     failed = first.where("not near").select("rank", "earlier")
     if not failed.isEmpty():
-        # Equal keys of different variants: their lines meet all earlier lines with the key, not the first only.
-        again = pairs.join(failed, ["rank", "earlier"], "left_semi").select("key", "kind", "rank")
-        other = F.when(F.col("kind") == 0, 0).otherwise(3 - F.col("kind"))
-        members = keys.select("key", F.col("kind").alias("other"), F.col("rank").alias("earlier"))
-        more = again.withColumn("other", other).join(members, ["key", "other"]).where("earlier < rank")
-        more = verified(more.select("rank", "earlier").distinct(), close)
-        found = found.unionByName(more.where("near").select("rank"))
+        # Equal keys of different variants: all lines with such a key are grouped anew by the variants' words.
+        shared = stored(pairs.join(failed, ["rank", "earlier"], "left_semi").select("key").distinct(), "shared-keys")
+        again = stored(spelled_keys(keys, shared, close), "spelled-variants", compression="zstd")
+        again = with_leads(again, ["h1", "h2"], "spelled").select("rank", "earlier").distinct()
+        found = found.unionByName(verified(again, close).where("near").select("rank"))
     return close.join(found.distinct(), "rank", "left_semi").select("h1", "h2")
 
 
