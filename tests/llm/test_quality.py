@@ -170,3 +170,31 @@ def test_held_out_threshold_equals_plain_counts(spark):
     for loss in (0.02, 0.5):
         found = held_out_threshold(docs, trusted(spark, ids), target, raw, loss)
         assert found == pytest.approx(np.quantile(scores, loss), abs=0.001)
+
+
+def test_all_labelled_documents_count(spark):
+    """More of them than any cap on their number has been."""
+    from upkeep.llm.quality import bucket_counts
+
+    many = 20_500
+    docs = spark.range(many + 100).selectExpr("id as doc_id", "concat('w', id) as text")
+    target, raw = bucket_counts(docs, docs.where(f"doc_id < {many}"))
+    assert (sum(target), sum(raw)) == (many, many + 100)
+    # Three of 20,500 toxic documents hold a word that no other one does.
+    docs = spark.range(4 * many).selectExpr("id as doc_id", "if(id % 4 = 0 and id < 12, 'rude', concat('w', id % 2)) as text")
+    toxic, good = docs.where("doc_id % 4 = 0"), docs.where("doc_id % 4 <> 0")
+    assert toxic_words(docs, good, toxic) == [spark.sql("select xxhash64('rude')").first()[0]]
+
+
+def test_quantile_equals_plain_one(spark, monkeypatch):
+    import numpy as np
+
+    from upkeep.llm import quality
+
+    monkeypatch.setattr(quality, "BINS", 16)
+    values = [(float(x),) for x in np.random.default_rng(5).normal(size=700)] + [(0.25,)] * 200 + [(-1e9,), (1e9,)]
+    frame = spark.createDataFrame(values, "score double")
+    for share in (0.02, 0.61, 1.0):
+        assert quality.quantile(frame, share) == pytest.approx(np.quantile([v for v, in values], share))
+    assert quality.quantile(frame.where("score = 0.25"), 0.3) == 0.25
+    assert quality.quantile(frame.where("score > 2e9"), 0.3) is None

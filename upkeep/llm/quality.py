@@ -14,21 +14,23 @@ and a document that holds one of them goes. All of it is DataFrame functions.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.common import MARKS, fresh, let, numbers, word_array
+from upkeep.llm.common import MARKS, documents, fresh, let, numbers, stored, word_array
+from upkeep.workspace import discard
 
 BUCKETS = 1 << 16
 #: Count added to every bucket of both multinomials.
 SMOOTHING = 0.5
 #: Log ratios are rounded to 1/UNIT, so that sums do not depend on an order.
 UNIT = 1000
-#: Trusted and toxic documents that are counted at most, of each; their ids are the only thing broadcast.
-TRUSTED_ROWS = 20_000
 #: Share of held-out trusted documents whose mean log ratio is below the threshold.
 LOSS = 0.02
+#: Parts that a range of scores is cut into; as many scores or fewer are sorted by the driver.
+BINS = 4096
 #: Least ratio of a word's share of toxic documents and its share of trusted ones.
 TOXIC_RATIO = 20
 #: Fewer toxic documents than this do not make a word toxic.
@@ -78,25 +80,25 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < MIN_WORDS) | (n_repeat_words * 100 > n_words * MAX_REPEATED)
 
 
-def marked(docs: DataFrame, labelled: DataFrame, mark: str, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text and a column ``mark``: 1 for the first ``TRUSTED_ROWS`` ids by hash of ``labelled``, else null."""
-    ids = labelled.select(F.col("doc_id").cast("long").alias("doc_id")).dropna().distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRUSTED_ROWS).withColumn(mark, F.lit(1))
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).join(F.broadcast(ids), "doc_id", "left")
+def marked(docs: DataFrame, id_col: str, text_col: str, **marks: DataFrame) -> DataFrame:
+    """The texts of all rows whose id a frame of ``marks`` holds in its column ``doc_id``; for each mark, whether that one does."""
+    ids = [x.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.lit(m == name).alias(m) for m in marks]) for name, x in marks.items()]
+    ids = reduce(DataFrame.unionByName, ids).dropna(subset=["doc_id"]).groupBy("doc_id").agg(*[F.bool_or(m).alias(m) for m in marks])
+    return documents(docs, id_col, text_col).join(ids, "doc_id").select("text", *marks)
+
+
+def counted(texts: DataFrame) -> list[int]:
+    """Counts of the n-grams by bucket."""
+    grams = texts.select(F.explode(let(word_array(F.col("text")), buckets)).alias("bucket"))
+    counts = [0] * BUCKETS
+    for bucket, n in grams.groupBy("bucket").count().collect():
+        counts[bucket] = n
+    return counts
 
 
 def bucket_counts(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[list[int], list[int]]:
     """Counts of the trusted and of all n-grams by bucket."""
-    rows = marked(docs, trusted, "trusted", id_col, text_col)
-    grams = rows.select(
-        F.coalesce("trusted", F.lit(0)).alias("trusted"), F.explode(let(word_array(F.col("text")), buckets)).alias("bucket")
-    )
-    counts = grams.groupBy("bucket").agg(F.sum("trusted"), F.count("*")).collect()
-    target, raw = [0] * BUCKETS, [0] * BUCKETS
-    for bucket, t, r in counts:
-        target[bucket], raw[bucket] = t, r
-    return target, raw
+    return counted(marked(docs, id_col, text_col, trusted=trusted)), counted(documents(docs, id_col, text_col))
 
 
 def ratios_of(target: list[int], raw: list[int]) -> list[int]:
@@ -108,8 +110,8 @@ def ratios_of(target: list[int], raw: list[int]) -> list[int]:
 def log_ratios(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[int]:
     """The log ratio of trusted and raw probability by bucket, in units of 1/UNIT.
 
-    ``trusted`` holds ids in its column ``doc_id``; ``TRUSTED_ROWS`` of them, the first by hash,
-    are used. All documents count as raw. The result has ``BUCKETS`` numbers whatever the input.
+    ``trusted`` holds ids in its column ``doc_id``; all of them are used. All documents count as
+    raw. The result has ``BUCKETS`` numbers whatever the input.
     """
     return ratios_of(*bucket_counts(docs, trusted, id_col, text_col))
 
@@ -124,6 +126,35 @@ def mean_ratio(grams: Column, ratios: Column) -> Column:
     return F.when(F.size(grams) > 0, total / (F.size(grams) * UNIT))
 
 
+def value_at(values: DataFrame, rank: int) -> float:
+    """The value of the only column, ``score``, that ``rank`` others precede in order.
+
+    Ranges that hold it are cut into ``BINS`` parts until few values are left, so that neither the
+    driver nor a task gets more of them. ``values`` is read several times.
+    """
+    low, high, n = values.agg(F.min("score"), F.max("score"), F.count("score")).first()
+    while low < high and n > BINS:
+        part = F.floor((F.col("score") - low) / (high - low) * BINS).alias("part")
+        inside = values.where(F.col("score").between(low, high))
+        for _, low, high, n in inside.groupBy(part).agg(F.min("score"), F.max("score"), F.count("*")).orderBy("part").collect():
+            if rank < n:
+                break
+            rank -= n
+    return low if low == high else sorted(r[0] for r in values.where(F.col("score").between(low, high)).collect())[rank]
+
+
+def quantile(values: DataFrame, share: float) -> float | None:
+    """The exact quantile of the column ``score``, between two values the weighted mean of both; None without values."""
+    n = values.count()
+    if not n:
+        return None
+    place = (n - 1) * share
+    lower, upper = math.floor(place), math.ceil(place)
+    if lower == upper:
+        return value_at(values, lower)
+    return (upper - place) * value_at(values, lower) + (place - lower) * value_at(values, upper)
+
+
 def held_out_threshold(
     docs: DataFrame, trusted: DataFrame, target: list[int], raw: list[int], loss: float = LOSS, id_col: str = "doc_id", text_col: str = "text"
 ) -> float:
@@ -131,6 +162,11 @@ def held_out_threshold(
 
     Documents that fail the base rules are left out. Without any other the threshold is minus infinity.
     """
+    return held_out_quantile(marked(docs, id_col, text_col, trusted=trusted), target, raw, loss)
+
+
+def held_out_quantile(texts: DataFrame, target: list[int], raw: list[int], loss: float) -> float:
+    """The same of the trusted texts."""
     ratios, counts, every = constants(ratios_of(target, raw)), constants(target), sum(target) + SMOOTHING * BUCKETS
 
     def held_out(grams: Column) -> Column:
@@ -151,9 +187,9 @@ def held_out_threshold(
     def score(words: Column) -> Column:
         return F.when(~base_failed(F.size(words), repeated_words(words)), let(buckets(words), held_out))
 
-    rows = marked(docs, trusted, "trusted", id_col, text_col).where("trusted = 1")
-    scores = rows.select(let(word_array(F.col("text")), score).alias("score"))
-    found = scores.agg(F.percentile("score", F.lit(loss))).first()[0]
+    scores = stored(texts.select(let(word_array(F.col("text")), score).alias("score")).dropna(), "held-out-scores")
+    found = quantile(scores, loss)
+    discard(scores)
     return -math.inf if found is None else found
 
 
@@ -163,9 +199,17 @@ def toxic_words(docs: DataFrame, trusted: DataFrame, toxic: DataFrame, id_col: s
     Such a word is in ``TOXIC_DOCS`` toxic documents at least, its share of them is ``TOXIC_RATIO``
     times its share of the trusted ones, and its log-likelihood ratio, of its documents in both, is
     above the logarithm of the number of words that toxic documents hold. ``toxic`` holds ids as
-    ``trusted`` does, and as many of them are used.
+    ``trusted`` does, and all of them are used.
     """
-    rows = [marked(docs, x, "labelled", id_col, text_col).where("labelled = 1").withColumn("toxic", F.lit(k)) for k, x in enumerate((trusted, toxic))]
+    rows = stored(marked(docs, id_col, text_col, trusted=trusted, toxic=toxic), "labelled-texts", compression="zstd")
+    found = telling_words(rows)
+    discard(rows)
+    return found
+
+
+def telling_words(labelled: DataFrame) -> list[int]:
+    """The same of texts that are marked as trusted, as toxic or as both."""
+    rows = [labelled.where(mark).select("text", F.lit(k).alias("toxic")) for k, mark in enumerate(("trusted", "toxic"))]
     rows = rows[0].unionByName(rows[1])
     sizes = dict(rows.groupBy("toxic").count().collect())
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
@@ -174,13 +218,16 @@ def toxic_words(docs: DataFrame, trusted: DataFrame, toxic: DataFrame, id_col: s
     hashes = F.array_distinct(F.transform(word_array(F.col("text")), lambda w: F.xxhash64(w)))
     words = rows.select("toxic", F.explode(hashes).alias("word"))
     words = words.groupBy("word").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).where("a > 0")
+    words = stored(words, "toxic-words")  # counted, then judged
     a, b = F.col("a"), F.col("b")
     term = lambda seen, share: F.when(seen > 0, seen * F.log(seen / share)).otherwise(0.0)
     with_word, without = (a + b) / (n0 + n1), (n0 + n1 - a - b) / (n0 + n1)
     gain = term(a, with_word * n1) + term(b, with_word * n0) + term(n1 - a, without * n1) + term(n0 - b, without * n0)
     often = ((a + SMOOTHING) / (n1 + 1)) >= TOXIC_RATIO * ((b + SMOOTHING) / (n0 + 1))
     found = words.where((a >= TOXIC_DOCS) & often & (gain >= math.log(max(2, words.count()))))
-    return sorted(r[0] for r in found.select("word").collect())
+    found = sorted(r[0] for r in found.select("word").collect())
+    discard(words)
+    return found
 
 
 def judged(
@@ -200,10 +247,14 @@ def judged(
     of held-out trusted scores. Without trusted rows the target is uniform, and the score rejects
     nothing; without ``toxic`` rows no word is toxic. An empty table stays empty.
     """
-    target, raw = bucket_counts(docs, trusted, id_col, text_col)
+    marks = {"trusted": trusted} if toxic is None else {"trusted": trusted, "toxic": toxic}
+    labelled = stored(marked(docs, id_col, text_col, **marks), "labelled-texts", compression="zstd")
+    good = labelled.where("trusted")
+    target, raw = counted(good), counted(documents(docs, id_col, text_col))
     if threshold is None:
-        threshold = held_out_threshold(docs, trusted, target, raw, LOSS, id_col, text_col)
-    bad_words = constants([] if toxic is None else toxic_words(docs, trusted, toxic, id_col, text_col))
+        threshold = held_out_quantile(good, target, raw, LOSS)
+    bad_words = constants([] if toxic is None else telling_words(labelled))
+    discard(labelled)
     ratios = constants(ratios_of(target, raw))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     name = fresh(docs, "quality")
