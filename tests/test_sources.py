@@ -100,3 +100,27 @@ def test_stable_frame_is_read_from_files(spark):
     stable = stabilise(frame)
     assert rows(stable) == rows(frame)
     assert "FileScan" in stable._jdf.queryExecution().toString()
+
+
+def test_exported_readings_lie_in_few_folders(spark, tmp_path):
+    """Each asset has a file of its own, not a folder; ids may be missing."""
+    from datetime import datetime
+    from pathlib import Path
+
+    from upkeep.registry.queries import EXPORT_FOLDERS, all_queries
+
+    rows = [(i, datetime(2024, 1, 1, 0, 0, i % 60, 5000), None if i % 7 == 6 else i % 1200 - 2, "view" if i % 3 else None, 0.1 * i) for i in range(2400)]
+    rows += [(9000, None, 3, "click", None), (9001, datetime(2024, 1, 2), 3, "click", -0.5)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    before = set(Path(shared_root(spark)).glob("upkeep/readings-csv-*"))
+    found = {r[0]: r[1] for r in all_queries()["key_from_path"](spark, str(tmp_path)).collect()}
+    want = {}
+    for _, _, user, kind, _ in rows:
+        if kind:
+            key = None if user is None else str(user).rjust(20, "0")
+            want[key] = want.get(key, 0) + 1
+    assert found == want
+    (out,) = set(Path(shared_root(spark)).glob("upkeep/readings-csv-*")) - before
+    assert len(list(out.rglob("*.csv"))) == len(want) and all(x.is_file() for x in out.rglob("*.csv"))
+    assert len([x for x in out.rglob("*") if x.is_dir()]) <= EXPORT_FOLDERS

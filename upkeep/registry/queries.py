@@ -36,12 +36,14 @@ from upkeep.plans.training import train_and_rank
 from upkeep.registry import standins
 from upkeep.sources.matrix import read_matrix, write_matrix
 from upkeep.sources.models import Settings, TrainedPipeline, load_model, read_runs, save_model
-from upkeep.sources.readings import read_readings
+from upkeep.sources.readings import read_readings, write_readings
 from upkeep.streaming.scoring import arriving_features, score_and_reject_stream, score_stream as start_scoring
 from upkeep.workspace import scratch, stabilise
 
 EXACT = 9  # decimals compared of computed doubles
 ID_LENGTH = 20  # digits of the asset ids in file names: every bigint fits
+NO_ID = "-" * ID_LENGTH  # in the name of the file of readings without an asset
+EXPORT_FOLDERS = 512  # that the files are dealt to, so that several tasks list them
 
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -140,11 +142,11 @@ def _exported(spark, folder) -> DataFrame:
     """The readings as files that carry the asset in their names, read back by the reader."""
     out = scratch(spark, "readings-csv")
     readings = standins.readings(standins.events(spark, folder))
-    asset = F.lpad(F.col("aircraftid").cast("string"), ID_LENGTH, "0")
-    name = F.concat(F.lit("010124-AAA-BBB-0001-"), asset, F.lit(".csv"))
-    files = readings.withColumn("export", name).drop("aircraftid").repartition("export")
-    files.write.options(header=True, sep=";").partitionBy("export").csv(out)
-    return read_readings(spark, out, id_length=ID_LENGTH, recursive=True)
+    asset = F.coalesce(F.lpad(F.col("aircraftid").cast("string"), ID_LENGTH, "0"), F.lit(NO_ID))
+    name = F.concat(F.pmod(F.xxhash64(asset), F.lit(EXPORT_FOLDERS)), F.lit("/010124-AAA-BBB-0001-"), asset, F.lit(".csv"))
+    write_readings(readings.withColumn("file", name).drop("aircraftid"), out)
+    read = read_readings(spark, out, id_length=ID_LENGTH, recursive=True)
+    return read.withColumn("aircraftid", F.nullif("aircraftid", F.lit(NO_ID)))
 
 
 @query
