@@ -31,6 +31,8 @@ UNIT = 1000
 LOSS = 0.02
 #: Parts that a range of scores is cut into; as many scores or fewer are sorted by the driver.
 BINS = 4096
+#: Binary logarithm of the bits that tell which texts may be labelled.
+BITS = 24
 #: Least ratio of a word's share of toxic documents and its share of trusted ones.
 TOXIC_RATIO = 20
 #: Fewer toxic documents than this do not make a word toxic.
@@ -81,10 +83,19 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
 
 
 def marked(docs: DataFrame, id_col: str, text_col: str, **marks: DataFrame) -> DataFrame:
-    """The texts of all rows whose id a frame of ``marks`` holds in its column ``doc_id``; for each mark, whether that one does."""
+    """The texts of all rows whose id a frame of ``marks`` holds in its column ``doc_id``; for each mark, whether that one does.
+
+    Texts are shuffled only if their id falls on a bit that a marked one has set. There are
+    2 ** ``BITS`` bits, so the table that is broadcast has 2 ** (``BITS`` - 6) rows at most.
+    """
     ids = [x.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.lit(m == name).alias(m) for m in marks]) for name, x in marks.items()]
     ids = reduce(DataFrame.unionByName, ids).dropna(subset=["doc_id"]).groupBy("doc_id").agg(*[F.bool_or(m).alias(m) for m in marks])
-    return documents(docs, id_col, text_col).join(ids, "doc_id").select("text", *marks)
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITS))
+    word, bit = F.shiftright(slot, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
+    bits = ids.groupBy(word).agg(F.bit_or(bit).alias("bits"))
+    texts = documents(docs, id_col, text_col).withColumn("bit", bit).withColumn("word", word)
+    texts = texts.join(F.broadcast(bits), "word").where(F.col("bits").bitwiseAND(F.col("bit")) != 0)
+    return texts.select("doc_id", "text").join(ids, "doc_id").select("text", *marks)
 
 
 def counted(texts: DataFrame) -> list[int]:
@@ -170,19 +181,21 @@ def held_out_quantile(texts: DataFrame, target: list[int], raw: list[int], loss:
     ratios, counts, every = constants(ratios_of(target, raw)), constants(target), sum(target) + SMOOTHING * BUCKETS
 
     def held_out(grams: Column) -> Column:
-        def less(s: Column) -> Column:
+        def total(s: Column) -> Column:
             starts = F.filter(numbers(F.size(s)), lambda i: F.coalesce(F.get(s, i - 1) != s[i], F.lit(True)))
 
-            def change(at: Column) -> Column:
+            def kinds(at: Column) -> Column:  # by bucket: its log ratio, its count in the target, and in the document
                 own = lambda p, k: F.coalesce(F.get(at, k + 1), F.size(s)) - p
-                term = lambda t, c: c * F.log((t - c + SMOOTHING) / (t + SMOOTHING))
-                terms = F.transform(at, lambda p, k: term(counts[s[p]], own(p, k)))
-                return F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
+                row = lambda *c: F.struct(*[x.cast("double").alias(n) for n, x in zip("rtc", c)])
+                return F.transform(at, lambda p, k: row(ratios[s[p]], counts[s[p]], own(p, k)))
+
+            def add(a: Column, x: Column) -> Column:
+                return a + x["c"] * (x["r"] / UNIT + F.log((x["t"] - x["c"] + SMOOTHING) / (x["t"] + SMOOTHING)))
 
-            return let(starts, change)
+            return F.aggregate(let(starts, kinds), F.lit(0.0), add)
 
         n = F.size(grams)
-        return mean_ratio(grams, ratios) + let(F.sort_array(grams), less) / n - F.log(1 - n / every)
+        return F.when(n > 0, let(F.sort_array(grams), total) / n - F.log(1 - n / every))
 
     def score(words: Column) -> Column:
         return F.when(~base_failed(F.size(words), repeated_words(words)), let(buckets(words), held_out))
