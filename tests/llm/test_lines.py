@@ -161,3 +161,16 @@ def test_no_python_in_the_plan(spark, tables):
     rows, _ = dedup_lines(spark.read.parquet(f"{tables}/documents.parquet"))
     plan = rows._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_lines_at_places(spark, monkeypatch):
+    """Only the lines asked for are joined; with few bits, whose lines fall together, the same."""
+    from upkeep.llm import common
+    from upkeep.llm.lines import lines_at
+
+    docs = spark.createDataFrame([(i, i, f"a {i}\n\nb {i}") for i in range(40)] + [(None, 1, "x\ny"), (3, 3, "a 3\n\nb 3")], "doc_id long, tie long, text string")
+    places = spark.createDataFrame([(1, 2, 3, 3, 2), (4, 5, None, 1, 1), (6, 7, 9, 9, 0)], "h1 long, h2 long, doc_id long, tie long, pos int")
+    want = [(1, 2, 3, 3, 2, "b 3")] * 2 + [(4, 5, None, 1, 1, "y"), (6, 7, 9, 9, 0, "a 9")]
+    for bits in (24, 6):
+        monkeypatch.setattr(common, "BITS", bits)
+        assert sorted(map(tuple, lines_at(docs, places).collect())) == want

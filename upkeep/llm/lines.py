@@ -15,10 +15,12 @@ the lines with that key are grouped once more, by hashes of their variants' word
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from upkeep.llm.common import MARKS, fresh, let, numbers, stored, word_array
+from upkeep.llm.common import MARKS, bit_hits, bit_table, fresh, let, numbers, stored, word_array
 
 NEAR_WORDS = 8
 
@@ -100,6 +102,18 @@ def one_edit(a: Column, b: Column) -> Column:
     )
 
 
+def lines_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``places`` (h1, h2, doc_id, tie, pos) with ``line``, once for each row of the document.
+
+    Lines are shuffled only if their place falls on a bit that one of ``places`` has set.
+    """
+    slot = F.xxhash64("doc_id", "tie", "pos")
+    texts = docs.select("doc_id", "tie", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    texts = bit_hits(texts, slot, bit_table(slot, at=places)).drop("at")
+    same = [texts["doc_id"].eqNullSafe(places["doc_id"]), texts["tie"] == places["tie"], texts["pos"] == places["pos"]]
+    return places.join(texts, reduce(Column.__and__, same)).select(*[places[c] for c in places.columns], "line")
+
+
 def close_lines(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFrame:
     """rank, h1, h2 and words of the distinct lines that share an end with another; ranks follow their order."""
     ends = lines.where("anchors is not null").select("h1", F.explode("anchors").alias("anchor"))
@@ -107,13 +121,8 @@ def close_lines(docs: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFra
     # Stored, so that adaptive execution can split the join where very many lines begin alike.
     shared = stored(shared.select("anchor"), "shared-anchors")
     close = ends.join(shared, "anchor", "left_semi").select("h1").distinct()
-    places = firsts.join(close, "h1", "left_semi").groupBy("doc_id", "tie")
-    places = stored(places.agg(F.collect_list(F.struct("h1", "h2", "pos")).alias("places")), "line-places")
-    same = docs["doc_id"].eqNullSafe(places["doc_id"]) & (docs["tie"] == places["tie"])
-    held = docs.join(places, same).select(docs["doc_id"], docs["tie"], F.split("text", "\n").alias("split"), "places")
-    held = held.select("doc_id", "tie", "split", F.explode("places").alias("p")).select(
-        "p.h1", "p.h2", "doc_id", "tie", "p.pos", F.col("split")[F.col("p.pos")].alias("line")
-    )
+    places = stored(firsts.join(close, "h1", "left_semi").select("h1", "h2", "doc_id", "tie", "pos"), "line-places")
+    held = lines_at(docs, places)
     held = held.dropDuplicates(["h1", "h2"]).orderBy("doc_id", "tie", "pos")
     words = word_array(F.col("line")).alias("words")
     return stored(held.select(F.monotonically_increasing_id().alias("rank"), "h1", "h2", words), "close-lines")
