@@ -198,3 +198,26 @@ def test_quantile_equals_plain_one(spark, monkeypatch):
         assert quality.quantile(frame, share) == pytest.approx(np.quantile([v for v, in values], share))
     assert quality.quantile(frame.where("score = 0.25"), 0.3) == 0.25
     assert quality.quantile(frame.where("score > 2e9"), 0.3) is None
+
+
+def test_marked_texts_are_not_shuffled(spark, monkeypatch):
+    """Only texts whose id falls on a bit of both kinds are joined with the ids; with few bits all are, and rows are the same."""
+    from upkeep.llm import common
+    from upkeep.llm.quality import marked
+
+    texts = [(i, f"text {i}") for i in range(500)] + [(7, "again"), (None, "none")]
+    docs, good, bad = odd.documents(spark, texts), trusted(spark, [None, *range(0, 300, 3), 9999]), trusted(spark, range(250, 280))
+    want = sorted((t, i % 3 == 0 and i < 300, 250 <= i < 280) for i, t in texts if i is not None)
+    want = [x for x in want if x[1] or x[2]]
+    for bits in (24, 7):
+        monkeypatch.setattr(common, "BITS", bits)
+        found = marked(docs, "doc_id", "text", trusted=good, toxic=bad)
+        assert sorted(map(tuple, found.collect())) == want
+    monkeypatch.setattr(common, "BITS", 24)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = marked(docs, "doc_id", "text", trusted=good)._jdf.queryExecution().optimizedPlan()
+        sure = plan.children().apply(0).toString()
+        assert "Union" in plan.toString() and "broadcast" in sure and "Aggregate" not in sure and sure.count("Join") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
