@@ -78,3 +78,12 @@ def test_table_equals_its_sql(spark, tables, oracle):
 
     found = all_queries()["op12_phrases"](spark, tables).toArrow()
     assert rows_of(found) == rows_of(oracle.sql(all_oracles()["op12_phrases"]).to_arrow_table())
+
+
+def test_stripes_are_sorted_by_a_number_first(spark):
+    """So that languages and lists of words are compared only where that number is equal."""
+    from upkeep.llm.phrases import STRIPE, merged_stripes
+
+    merged = merged_stripes(spark.createDataFrame([("en", [1, 2], 0, 1, [5, 6], [2, 3]), ("en", [1, 2], 0, 1, [6], [4])], STRIPE), 2, 3)
+    assert "Sort [hash" in merged._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in merged.collect()] == [("en", [1, 2], 9, [6], [7])]

@@ -37,6 +37,9 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 END = b"\xff"  # in no UTF-8 text
 TO_END = bytes.maketrans(BREAKS, END * len(BREAKS))
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a sort key that tell the next word; those above tell the prefix.
+PART_BITS = 24
+PART_MASK = np.uint64((1 << PART_BITS) - 1)
 
 
 def lang_hash(lang: str) -> np.uint64:
@@ -70,10 +73,18 @@ def words_of(texts: list[bytes]) -> list[bytes]:
     return (END.join(texts) + END).lower().translate(TO_END).replace(END, b" \xff ").split()
 
 
+def encoded(words: list[bytes], known: WordHashes) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words, their hashes (zero for ``END`` only), and for each word its number among them."""
+    known[END] = 0
+    codes = pa.array(words, pa.binary()).dictionary_encode()
+    distinct = codes.dictionary.to_pylist()
+    return codes.dictionary, np.fromiter(map(known.__getitem__, distinct), np.uint64, len(distinct)), np.asarray(codes.indices)
+
+
 def word_ids(words: list[bytes], known: WordHashes) -> np.ndarray:
     """Hashes of words; zero for ``END`` only."""
-    known[END] = 0
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    _, hashes, codes = encoded(words, known)
+    return hashes[codes]
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -83,12 +94,11 @@ def word_counts(texts: DataFrame) -> DataFrame:
         known = WordHashes()
 
         def work(lang, some):
-            words = words_of(some)
-            ids = word_ids(words, known)
-            ids, first, n = np.unique(ids, return_index=True, return_counts=True)
+            words, ids, codes = encoded(words_of(some), known)
+            n = np.bincount(codes, minlength=len(ids))
             real = ids != 0
-            words = [words[i].decode() for i in first[real].tolist()]
-            columns = [pa.array([lang] * len(words), pa.string()), pa.array(ids[real].view(np.int64)), pa.array(words, pa.string())]
+            words = words.filter(pa.array(real)).cast(pa.string())
+            columns = [pa.array([lang] * len(words), pa.string()), pa.array(ids[real].view(np.int64)), words]
             return pa.record_batch([*columns, pa.array(n[real].astype(np.int64))], ["lang", "id", "word", "n"])
 
         yield from by_language(batches, work)
@@ -171,18 +181,18 @@ def stripes(texts: DataFrame, length: int, frequent: Bits, hot: list[tuple[int,
             at = np.flatnonzero(whole)
             after = np.where(whole[at + 1], ids[at + length], np.uint64(0))  # no phrase goes on from here
             prefix = h[at]
-            # Equal entries side by side; where different ones should share a hash they stay apart.
-            order = np.argsort(mixed(prefix + after * FACTOR), kind="stable")
-            parts = [ids[at[order] + k] for k in range(length)]
-            first = starts_of(after[order], *parts)
+            # Equal entries, slices and prefixes side by side, by one sort; a slice is a range of ``part``.
+            # Where different ones should share a number they stay apart.
+            part = mixed(after) & PART_MASK
+            order = np.argsort((prefix & ~PART_MASK) | part)
+            at, after, prefix, part = at[order], after[order], prefix[order], part[order]
+            first = starts_of(after, *[ids[at + k] for k in range(length)])
             counts = np.diff(np.append(first, len(order)))
-            at, after, prefix = at[order][first], after[order][first], prefix[order][first]
+            at, after, prefix, part = at[first], after[first], prefix[first], part[first]
             slices = np.ones(len(at), np.int64)
             for number, bits in hot:
                 slices[bits.has(prefix)] = number
-            piece = (mixed(after) % slices.astype(np.uint64)).astype(np.int64)
-            order = np.lexsort((piece, prefix))
-            at, after, counts, piece, slices = at[order], after[order], counts[order], piece[order], slices[order]
+            piece = (part.astype(np.int64) * slices) >> PART_BITS
             parts = [ids[at + k] for k in range(length)]
             first = starts_of(piece, *parts)
             prefixes = np.stack([p[first] for p in parts], 1).view(np.int64).ravel()
@@ -243,9 +253,10 @@ def merged_stripes(made: DataFrame, length: int, least: int) -> DataFrame:
     def finished(rows):
         """Without rare extensions and rare prefixes."""
         counts, after = np.asarray(rows.column("counts").flatten()), np.asarray(rows.column("next").flatten())
-        group = np.repeat(np.arange(rows.num_rows), np.asarray(rows.column("counts").value_lengths()))
-        total = np.zeros(rows.num_rows, np.int64)
-        np.add.at(total, group, counts)
+        sizes = np.asarray(rows.column("counts").value_lengths())
+        group, ends = np.repeat(np.arange(rows.num_rows), sizes), np.cumsum(sizes)
+        summed_up = np.concatenate([[0], np.cumsum(counts)])
+        total = summed_up[ends] - summed_up[ends - sizes]
         often = (counts >= least) & (after != 0)
         begins = np.searchsorted(group[often], np.arange(rows.num_rows))
         columns = [rows.column("lang"), rows.column("prefix"), pa.array(total)]
@@ -254,7 +265,8 @@ def merged_stripes(made: DataFrame, length: int, least: int) -> DataFrame:
         return pa.record_batch(columns, ["lang", "prefix", "total", "next", "counts"]).filter(keep)
 
     key = ["lang", "prefix", "slice"]
-    rows = made.repartition(*key).sortWithinPartitions(*key)
+    # Sorted by a number first: languages and lists are compared only where it is equal.
+    rows = made.repartition(*key).withColumn("hash", F.xxhash64(*key)).sortWithinPartitions("hash", *key).drop("hash")
     return rows.mapInArrow(merge, "lang string, prefix array<long>, total long, next array<long>, counts array<long>")
 
 
