@@ -221,3 +221,14 @@ def test_marked_texts_are_not_shuffled(spark, monkeypatch):
         assert "Union" in plan.toString() and "broadcast" in sure and "Aggregate" not in sure and sure.count("Join") == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_words_are_hashed_once_and_ratios_are_no_constant(spark):
+    """Each of the hashes of words, pairs and windows is in the plan once, and the 65,536 ratios are looked up in a subquery's value."""
+    texts = [(i, odd.prose(i, 60)) for i in range(20)] + [(20, None), (21, "x"), (22, "x y"), (23, "x y x y x")]
+    docs = odd.documents(spark, texts)
+    rows, name = judged(docs.select("doc_id", "text"), trusted(spark, range(10)), toxic=trusted(spark, range(10, 14)))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.count("xxhash64("), plan.count("transform(array(scalar-subquery")) == (3, 1)
+    found = {r["doc_id"]: r[name] for r in rows.collect()}
+    assert {i: tuple(found[i][f] for f in FIELDS) for i, t in texts} == {i: base(t) for i, t in texts}
