@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from upkeep.functions.keys import ASSET_ID_LENGTH, SUFFIX, asset_from_path
-from upkeep.llm.sequences import located, store
 from upkeep.schemas import READING_FILE
 from upkeep.sources.paths import require
 
@@ -52,6 +51,8 @@ def write_readings(readings: DataFrame, folder: str, *, file: str = "file", sep:
     because Spark's writer makes a folder for each of them, which the reader then lists by a task of its
     own. A file appears under its name only when complete.
     """
+    from upkeep.llm.sequences import located, store  # nothing else here needs that folder
+
     root = located(readings.sparkSession, folder)
     columns = [c for c in readings.columns if c != file]
     header = sep.join(columns) + "\n"
