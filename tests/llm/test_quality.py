@@ -4,7 +4,7 @@ from collections import Counter
 import odd
 import pytest
 
-from upkeep.llm.quality import BUCKETS, judged, log_ratios, toxic_ids, toxic_words, trusted_ids
+from upkeep.llm.quality import BUCKETS, judged, log_ratios, looked_up, toxic_ids, toxic_words, trusted_ids
 from upkeep.llm.queries import all_queries
 
 
@@ -232,3 +232,12 @@ def test_words_are_hashed_once_and_ratios_are_no_constant(spark):
     assert (plan.count("xxhash64("), plan.count("transform(array(scalar-subquery")) == (3, 1)
     found = {r["doc_id"]: r[name] for r in rows.collect()}
     assert {i: tuple(found[i][f] for f in FIELDS) for i, t in texts} == {i: base(t) for i, t in texts}
+
+
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_plans_do_not_hold_the_numbers_that_are_looked_up(spark, kind):
+    """Each query's descriptions stay on the driver; constants made them megabytes long."""
+    numbers = [i / 7 if kind == "double" else i - 5 for i in range(BUCKETS)]
+    rows = spark.range(3).withColumn("values", looked_up(spark, numbers, kind))
+    assert len(rows._jdf.queryExecution().toString()) < 10_000
+    assert [r["values"] for r in rows.collect()] == [numbers] * 3

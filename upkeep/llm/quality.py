@@ -17,6 +17,7 @@ import math
 from collections.abc import Callable
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -175,9 +176,12 @@ def looked_up(spark: SparkSession, values: list, kind: str = "long") -> Column:
     """The same array as a scalar subquery, for lookups at random places: its numbers lie side by side in memory.
 
     A constant's numbers are objects, which do not fit into a core's cache. Expressions over arrays
-    take no subquery, so it has to be a column of its own before one uses it, once, by ``let``.
+    take no subquery, so it has to be a column of its own before one uses it, once, by ``let``. The
+    numbers come as an Arrow table, as a plan holds a constant in all its descriptions, which the
+    driver keeps: megabytes for each query.
     """
-    return spark.range(0, 1, 1, 1).select(constants(values, kind).alias("values")).scalar()
+    column = pa.array([values], pa.list_(pa.float64() if kind == "double" else pa.int64()))
+    return spark.createDataFrame(pa.table({"values": column})).scalar()
 
 
 def mean_ratio(singles: Column, pairs: Column, ratios: Column) -> Column:
