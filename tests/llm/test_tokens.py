@@ -174,3 +174,27 @@ def test_queries_over_the_table(spark, tables, table_docs):
         part = want[p["doc_id"]][p["start"] : p["start"] + p["length"]]
         assert p["ids_crc32"] == zlib.crc32(part.tobytes()) and p["doc_tokens"] == len(want[p["doc_id"]])
     assert sum(p["length"] for p in pieces) == sum(map(len, want.values()))
+
+
+class Recorder:
+    """A tokenizer that notes what is encoded in batches."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.seen = tokenizer, []
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+    def encode_batch_fast(self, texts, **options):
+        self.seen += texts
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+def test_signs_after_words_are_encoded_apart():
+    encoder = ChunkEncoder(default_tokenizer())
+    encoder.tokenizer = recorder = Recorder(encoder.tokenizer)
+    texts = ["that*** that re%%%. été### \"(x)\" a_ don't' $$$", "that*** été### that", "", "new&&& ***"]
+    found = encoder.encode([t.encode() for t in texts])
+    assert sorted(recorder.seen) == sorted(["***", "%%%.", "###", '"(x)"', "_", "don't'", "$$$", "&&&"])
+    fresh = Tokenizer.from_file(default_tokenizer())
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [fresh.encode(t, add_special_tokens=False).ids for t in texts]

@@ -14,6 +14,7 @@ not be found, even if lowering its letters makes one.
 from __future__ import annotations
 
 import os
+import struct
 import unicodedata
 
 import numpy as np
@@ -24,8 +25,8 @@ from upkeep.llm.common import worker_state
 KEPT_CHUNKS = 700_000
 #: Chunks longer than this are encoded but not kept.
 KEPT_BYTES = 64
-#: Marks that the tokenizer splits from the letters before them.
-TAIL = b".,!?;:|"
+#: Marks that the tokenizer splits from the letters before them: all ASCII signs but the apostrophe.
+TAIL = b".,!?;:|#$%&()*+-/<=>@[]^_`{}~\"\\"
 
 
 def default_tokenizer() -> str:
@@ -39,6 +40,11 @@ def letters_only(word: bytes) -> bool:
     return word.isalpha() or unicodedata.normalize("NFC", word.decode()).lower().isalpha()
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit ids."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class ChunkEncoder:
     """Encodes texts to bytes: little-endian unsigned 32-bit ids."""
 
@@ -76,49 +82,70 @@ class ChunkEncoder:
 
     def encode_chunks(self, texts: list[bytes]) -> list[bytes]:
         """The ids of texts without added tokens."""
-        known, pieces = self.known, [t.lower().split() for t in texts]
-        missing = set().union(*pieces).difference(known)
+        known, done, open_texts, missing = self.known, [], [], set()
+        for text in texts:
+            chunks = text.lower().split()
+            parts = list(map(known.get, chunks))
+            try:
+                done.append(b"".join(parts))
+            except TypeError:  # an unknown chunk gives None
+                places = [k for k, part in enumerate(parts) if part is None]
+                missing.update([chunks[k] for k in places])
+                open_texts.append((len(done), chunks, parts, places))
+                done.append(b"")
         if not missing:
-            return [b"".join(map(known.__getitem__, p)) for p in pieces]
+            return done
         self.tokenizer.encode_special_tokens = True  # lowered chunks hold no added token
         try:
             found = self.learned(missing)
         finally:
             self.tokenizer.encode_special_tokens = False
+        for i, chunks, parts, places in open_texts:
+            for k in places:
+                parts[k] = found[chunks[k]]
+            done[i] = b"".join(parts)
         if len(known) + len(found) <= KEPT_CHUNKS:
             known.update(found)
-            return [b"".join(map(known.__getitem__, p)) for p in pieces]
-        return [b"".join([known[c] if c in known else found[c] for c in p]) for p in pieces]
+        return done
 
     def learned(self, chunks: set[bytes]) -> dict[bytes, bytes]:
         """The ids of each chunk, with those of their words and marks."""
         found, plain, letters, rest, split = {}, [], [], [], []
-        for chunk in chunks:
-            word = chunk.rstrip(TAIL)
-            if word != chunk and letters_only(word):  # other signs would form one group with the marks
-                split.append((chunk, word))
-        parts = {w for _, w in split} | {c[len(w) :] for c, w in split}
-        for word in parts.union(chunks.difference(c for c, _ in split)).difference(self.known):
+
+        def sort_in(word: bytes) -> None:
             if self.suffix and word.isalpha():  # of bytes: ASCII letters
                 plain.append(word)
             elif self.suffix and letters_only(word):
                 letters.append(word)
             else:
                 rest.append(word)
+
+        for chunk in chunks:
+            word = chunk.rstrip(TAIL)
+            if word == chunk:
+                sort_in(chunk)
+            elif letters_only(word):  # other signs would form one group with the marks
+                split.append((chunk, word))
+            else:
+                rest.append(chunk)
+        parts = {w for _, w in split} | {c[len(w) :] for c, w in split}
+        for word in parts.difference(chunks).difference(self.known):
+            sort_in(word)
         for word in plain:
-            found[word] = np.array([t.id for t in self.model.tokenize(word.decode())], "<u4").tobytes()
+            found[word] = packed([t.id for t in self.model.tokenize(word.decode())])
         for start in range(0, len(letters), 200):
             some = letters[start : start + 200]
             ids = np.array(self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(some) and ends[-1] == len(ids):  # no chunk is more than one word
-                found.update(zip(some, (x.tobytes() for x in np.split(ids, ends[:-1]))))
+                joined, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+                found.update(zip(some, (joined[a:b] for a, b in zip(at, at[1:]))))
             else:
                 rest.extend(some)
         for start in range(0, len(rest), 10_000):
             some = rest[start : start + 10_000]
             encoded = self.tokenizer.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)
-            found.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(some, encoded))
+            found.update((c, packed(e.ids)) for c, e in zip(some, encoded))
         for chunk, word in split:
             tail = chunk[len(word) :]
             found[chunk] = (found.get(word) or self.known.get(word) or b"") + (found.get(tail) or self.known[tail])
